@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from itertools import permutations
 
 from pyspark.sql import Column
@@ -76,6 +76,10 @@ def jitter_factor(name: str, seed: object, *key: Column) -> Column:
     return hash01(f"{seed}{name}", *key) + F.lit(_LOWEST[name])
 
 
+def _apply(step: Callable[[Column, Column], Column], pixels: Column, factor: Column) -> Column:
+    return let(pixels, lambda p: step(p, factor))
+
+
 def pixel_jitter(
     pixels: Column, *key: Column, enabled: Sequence[str] = ("brightness", "contrast"), seed: object = 0
 ) -> Column:
@@ -86,8 +90,7 @@ def pixel_jitter(
     for number, names in reversed(list(enumerate(orders))):
         changed = pixels
         for name in names:
-            step, factor = _STEPS[name], jitter_factor(name, seed, *key)
-            changed = let(changed, lambda p, step=step, factor=factor: step(p, factor))
+            changed = _apply(_STEPS[name], changed, jitter_factor(name, seed, *key))
         out = F.when(draw == number, changed).otherwise(out)
     return out
 
