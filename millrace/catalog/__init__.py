@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from importlib import import_module
 
-FAMILIES = ("corpus_queries", "runlog_queries", "array_queries", "annotation_queries", "manifest_queries")
+FAMILIES = ("corpus_queries", "runlog_queries", "array_queries", "annotation_queries", "manifest_queries",
+            "temporal_queries")
 
 
 def _registries():
