@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 FAMILIES = ("corpus_queries", "runlog_queries", "array_queries", "annotation_queries", "manifest_queries",
-            "temporal_queries")
+            "temporal_queries", "stream_queries")
 
 
 def _registries():

@@ -8,6 +8,7 @@ from millrace.catalog import inputs
 from millrace.catalog.registry import Registry
 from millrace.functions import arrays, images
 from millrace.operators import metrics
+from millrace.session import spread
 
 registry = Registry()
 add = registry.add
@@ -19,7 +20,7 @@ _EMB = """emb AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST
 
 def embeddings(spark, folder):
     """``vec_id, label``, the vector ``v`` as doubles and ``r``, the same reversed."""
-    table = inputs.load_table(spark, folder, "embeddings")
+    table = spread(inputs.load_table(spark, folder, "embeddings"))
     v = F.col("embedding").cast("array<double>")
     return table.select("vec_id", "label", v.alias("v"), F.reverse(v).alias("r"))
 
@@ -52,7 +53,7 @@ _KEYS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 def sparse_lines(spark, folder):
     """``0:label part:quantity supplier:discount``, one line per lineitem; the two indexes may be equal."""
-    items = inputs.load_table(spark, folder, "lineitem")
+    items = spread(inputs.load_table(spark, folder, "lineitem").select(*_KEYS, "l_quantity", "l_discount"))
     line = F.concat(
         F.lit("0:"), F.col("l_linenumber").cast("string"), F.lit(".7 "),
         (F.col("l_partkey") % 24 + 1).cast("string"), F.lit(":"), F.col("l_quantity").cast("long").cast("string"),

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators import corpus
-from millrace.session import load_table
+from millrace.session import load_table, spread
 
 
 def micros(ts: Column) -> Column:
@@ -37,7 +37,7 @@ def sql_two_decimals(cents: str) -> str:
 
 
 def corpus_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return corpus.lines(load_table(spark, folder, "documents"), "text", "doc_id")
+    return corpus.lines(spread(load_table(spark, folder, "documents").select("doc_id", "text")), "text", "doc_id")
 
 
 def corpus_tokens(spark: SparkSession, folder: str, lower: bool = True) -> DataFrame:

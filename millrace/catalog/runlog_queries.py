@@ -13,8 +13,8 @@ registry = Registry()
 add = registry.add
 
 
-def parsed_losses(spark, folder):
-    return runlogs.parse_losses(inputs.run_logs(spark, folder))
+def parsed_losses(spark, folder, **kw):
+    return runlogs.parse_losses(inputs.run_logs(spark, folder), **kw)
 
 
 def parsed_solver(spark, folder):
@@ -66,7 +66,7 @@ status AS (
 
 @add("f4_running_loss_status", f"{_STATUS} SELECT * FROM status")
 def running_loss_status(spark, folder):
-    return runlogs.running_loss_status(parsed_losses(spark, folder))
+    return runlogs.running_loss_status(parsed_losses(spark, folder, marked_only=True))
 
 
 def _progress_sql(kind):
@@ -139,7 +139,7 @@ def loss_extrema(spark, folder):
   'train' AS command_name, 1 AS n_fin FROM status""")
 def status_json(spark, folder):
     """Builds the document of every progress line, then reads it back from its JSON text."""
-    status = runlogs.running_loss_status(parsed_losses(spark, folder))
+    status = runlogs.running_loss_status(parsed_losses(spark, folder, marked_only=True))
     newest = F.array(F.array(F.col("tot_epochs").cast("double"), F.col("last_loss")))
     document = rx.status_json(F.col("last_loss"), F.col("tot_epochs") - 1, F.col("progress"), F.col("min_loss"),
                               F.col("max_loss"), F.lit("logrank.0.log"), F.lit("train"), newest)

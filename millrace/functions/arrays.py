@@ -33,14 +33,14 @@ def sparse_entries(line: Column) -> Column:
 
     Unreadable numbers give a null index or value.
     """
-    parsed = F.transform(
-        F.filter(F.split(F.trim(line), " +"), lambda item: item != ""),
-        lambda item, at: F.struct(
-            F.substring_index(item, ":", 1).try_cast("int").alias("idx"),
-            (-at).alias("back"),
-            F.regexp_extract(item, "^[^:]*:(.*)$", 1).try_cast("float").alias("val"),
-        ),
-    )
+    def entry(item: Column, at: Column) -> Column:
+        colon = F.locate(":", item)
+        value = F.when(colon > 0, F.substr(item, colon + 1).try_cast("float"))
+        return F.struct(
+            F.substring_index(item, ":", 1).try_cast("int").alias("idx"), (-at).alias("back"), value.alias("val")
+        )
+
+    parsed = F.transform(F.array_remove(F.split(line, " "), ""), entry)
     return let(
         F.array_sort(parsed),
         lambda s: F.filter(s, lambda e, i: (i == 0) | ~e["idx"].eqNullSafe(F.try_element_at(s, i)["idx"])),

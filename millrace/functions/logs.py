@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 # The log formats that are recognised. Patterns apply from the start of a line.
 LOSS_ITERATION = r"^.*Training Loss ([0-9.]+), at iteration ([0-9]+)"
 PROGRESS = r"^.*PROGRESS: ([0-9.]+)%"
+LOSS_MARK, PROGRESS_MARK = "Training Loss ", "PROGRESS: "
 MAX_ITER = r"^\s*max_iter:\s(\d+)\s*$"
 ITERATION_LOSS = r"^.*\sIteration\s+(\d+)\s.*loss\s=\s([-+]?\d*.?\d+(?:e[-+]\d+)?)(?:\s.*)?$"
 STEP_LOSS = r"^.*step\s\d+,\sloss\s=\s(.*?)\s.*$"
@@ -23,18 +24,28 @@ def epoch_pattern(step: int = EPOCH_STEP) -> str:
     return rf"^.*step\s{step},\sloss\s=\s(.*?)\s.*$"
 
 
-def extracted(line: Column, pattern: str, group: int = 1) -> Column:
-    """A group of the pattern; null where the line does not match."""
-    return F.when(F.rlike(line, F.lit(pattern)), F.regexp_extract(line, pattern, group))
+def extracted(line: Column, pattern: str, group: int = 1, marker: str = "") -> Column:
+    """A group of the pattern; null where the line does not match.
+
+    ``marker`` is a text every match contains: other lines are told apart by it
+    before the pattern is tried.
+    """
+    hit = F.rlike(line, F.lit(pattern))
+    return F.when(F.contains(line, F.lit(marker)) & hit, F.regexp_extract(line, pattern, group))
+
+
+def _parsed(line: Column, pattern: str, group: int, marker: str, kind: str) -> Column:
+    # a line without a match gives an empty text, which is no number either
+    return F.when(F.contains(line, F.lit(marker)), F.regexp_extract(line, pattern, group).try_cast(kind))
 
 
-def number(line: Column, pattern: str, group: int = 1) -> Column:
+def number(line: Column, pattern: str, group: int = 1, marker: str = "") -> Column:
     """A numeric group; null where the line does not match or the number is malformed."""
-    return extracted(line, pattern, group).try_cast("double")
+    return _parsed(line, pattern, group, marker, "double")
 
 
-def whole(line: Column, pattern: str, group: int = 1) -> Column:
-    return extracted(line, pattern, group).try_cast("long")
+def whole(line: Column, pattern: str, group: int = 1, marker: str = "") -> Column:
+    return _parsed(line, pattern, group, marker, "long")
 
 
 def loss_iteration(line: Column) -> dict[str, Column]:
@@ -42,13 +53,12 @@ def loss_iteration(line: Column) -> dict[str, Column]:
 
     A loss line with a malformed number gives neither, and no progress.
     """
-    is_loss = F.rlike(line, F.lit(LOSS_ITERATION))
-    loss, step = number(line, LOSS_ITERATION, 1), whole(line, LOSS_ITERATION, 2)
-    both = loss.isNotNull() & step.isNotNull()
+    is_loss = F.contains(line, F.lit(LOSS_MARK)) & F.rlike(line, F.lit(LOSS_ITERATION))
+    loss, step = number(line, LOSS_ITERATION, 1, LOSS_MARK), whole(line, LOSS_ITERATION, 2, LOSS_MARK)
     return {
-        "loss": F.when(both, loss),
-        "iter": F.when(both, step),
-        "progress": F.when(~is_loss, number(line, PROGRESS)),
+        "loss": F.when(step.isNotNull(), loss),
+        "iter": F.when(loss.isNotNull(), step),
+        "progress": F.when(F.contains(line, F.lit(PROGRESS_MARK)) & ~is_loss, number(line, PROGRESS, 1)),
     }
 
 
@@ -56,27 +66,27 @@ def solver_fields(line: Column) -> dict[str, Column]:
     """``max_iter``, ``iter`` and ``loss`` of solver output (lines are stripped first)."""
     text = F.trim(line)
     return {
-        "max_iter": whole(text, MAX_ITER),
-        "iter": whole(text, ITERATION_LOSS, 1),
-        "loss": number(text, ITERATION_LOSS, 2),
+        "max_iter": whole(text, MAX_ITER, 1, "max_iter:"),
+        "iter": whole(text, ITERATION_LOSS, 1, "Iteration"),
+        "loss": number(text, ITERATION_LOSS, 2, "Iteration"),
     }
 
 
 def step_fields(line: Column, epoch_step: int = EPOCH_STEP) -> dict[str, Column]:
     """``minibatch_loss``, ``epoch_loss`` (only at ``epoch_step``) and ``command``."""
     return {
-        "minibatch_loss": number(line, STEP_LOSS),
-        "epoch_loss": number(line, epoch_pattern(epoch_step)),
-        "command": extracted(line, COMMAND),
+        "minibatch_loss": number(line, STEP_LOSS, 1, "step"),
+        "epoch_loss": number(line, epoch_pattern(epoch_step), 1, f"{epoch_step},"),
+        "command": extracted(line, COMMAND, 1, "Execute"),
     }
 
 
 def checkpoint_fields(path: Column) -> dict[str, Column]:
     """``prefix``, ``iter`` and ``suffix`` of ``<prefix>_<iter>.solverstate<suffix>``."""
     return {
-        "prefix": extracted(path, CHECKPOINT, 1),
-        "iter": whole(path, CHECKPOINT, 2),
-        "suffix": extracted(path, CHECKPOINT, 3),
+        "prefix": extracted(path, CHECKPOINT, 1, ".solverstate"),
+        "iter": whole(path, CHECKPOINT, 2, ".solverstate"),
+        "suffix": extracted(path, CHECKPOINT, 3, ".solverstate"),
     }
 
 

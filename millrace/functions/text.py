@@ -9,14 +9,16 @@ from pyspark.sql import functions as F
 
 from millrace.functions.arrays import let
 
-# What separates tokens (every Unicode white space and the ASCII separators).
-WHITESPACE = r"[\s\x1c-\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+# What separates tokens (every Unicode white space and the ASCII separators);
+# the upper ones stand behind one range test, which other letters fail at once.
+_UPPER = r"[\x{1680}-\x{3000}&&[\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]]"
+WHITESPACE = r"[\t-\r\x1c-\x20\x85\xa0" + _UPPER + "]+"
 
 
 def tokens(line: Column, lower: bool = False) -> Column:
     """Whitespace-separated tokens of a line; a blank line has none."""
     text = F.lower(line) if lower else line
-    return F.filter(F.split(text, WHITESPACE), lambda t: t != "")
+    return F.array_remove(F.split(text, WHITESPACE), "")
 
 
 # -- paths ---------------------------------------------------------------------

@@ -69,10 +69,9 @@ def vocabulary(counts: DataFrame, specials: Sequence[str] = RESERVED, max_size:
     ``max_size`` includes the special tokens. A bounded vocabulary is cut down
     before it is numbered; an unbounded one is numbered in ranges.
     """
-    spark = counts.sparkSession
-    reserved = spark.createDataFrame(
-        [(t, None, i) for i, t in enumerate(specials)], "token string, cnt long, id long"
-    )
+    names = F.array(*[F.lit(t) for t in specials]) if specials else F.array().cast("array<string>")
+    reserved = counts.sparkSession.range(0, 1, 1, 1).select(
+        F.posexplode(names).alias("id", "token")).select("token", F.lit(None).cast("long").alias("cnt"), F.col("id").cast("long").alias("id"))
     if max_size is not None:
         reserved = reserved.filter(F.col("id") < max_size)
     room = None if max_size is None else max(0, max_size - len(specials))

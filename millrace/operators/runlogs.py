@@ -13,20 +13,25 @@ from pyspark.sql import functions as F
 from millrace.functions.logs import (
     DEFAULT_MAX_ITER,
     EPOCH_STEP,
+    LOSS_MARK,
+    PROGRESS_MARK,
     checkpoint_fields,
     loss_iteration,
     percent,
     solver_fields,
     step_fields,
 )
-from millrace.plans import Run, Splits, lookup_join, running, top_n
+from millrace.plans import Run, Splits, find_splits, lookup_join, running, top_n
 from millrace.session import materialize
 
 RUN, LINE_NO = "run_id", "line_no"
 
 
-def parse_losses(logs: DataFrame, line: str = "line") -> DataFrame:
-    """Add ``loss``, ``iter`` and ``progress``."""
+def parse_losses(logs: DataFrame, line: str = "line", *, marked_only: bool = False) -> DataFrame:
+    """Add ``loss``, ``iter`` and ``progress``; ``marked_only`` first drops lines that can have neither."""
+    if marked_only:
+        text = F.col(line)
+        logs = logs.filter(F.contains(text, F.lit(LOSS_MARK)) | F.contains(text, F.lit(PROGRESS_MARK)))
     return logs.withColumns(loss_iteration(F.col(line)))
 
 
@@ -43,9 +48,9 @@ def running_loss_status(
 ) -> DataFrame:
     """One row per progress line: last loss and iteration, highest and lowest loss, epochs so far.
 
-    Missing values follow the status document: loss 0.0, epoch count 1.
+    Missing values follow the status document: loss 0.0, epoch count 1. Lines
+    without either value may be left out beforehand (:func:`parse_losses`).
     """
-    relevant = parsed.filter(F.col("progress").isNotNull() | F.col("loss").isNotNull())
     columns = {
         "last_loss": Run("last", F.col("loss")),
         "last_iter": Run("last", F.col("iter")),
@@ -54,7 +59,7 @@ def running_loss_status(
         "n_epochs": Run("count", F.col("loss")),
     }
     return (
-        running(relevant, keys, order, columns, splits=splits)
+        running(parsed.select(*keys, *order, "progress", "loss", "iter"), keys, order, columns, splits=splits)
         .filter(F.col("progress").isNotNull())
         .select(
             *keys,
@@ -73,10 +78,11 @@ def running_loss_status(
 
 
 def _progress(parsed: DataFrame, keys: Sequence[str], order: Sequence[str], kind: str, default: int | None) -> DataFrame:
+    splits = find_splits(parsed, keys, order)
     relevant = parsed.filter(F.col("max_iter").isNotNull() | F.col("loss").isNotNull())
     # a maximum of 0 counts as not yet seen
     seen = F.when(F.col("max_iter") != 0, F.col("max_iter")) if kind == "first" else F.col("max_iter")
-    limited = running(relevant, keys, order, {"_limit": Run(kind, seen)})
+    limited = running(relevant, keys, order, {"_limit": Run(kind, seen)}, splits=splits)
     limit = F.col("_limit") if default is None else F.coalesce("_limit", F.lit(default))
     return (
         limited.withColumn("limit_iter", limit)

@@ -33,6 +33,15 @@ def load_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan of fewer partitions than cores to all cores; a larger scan stays as it is.
+
+    For inputs in a few unsplittable files that costly expressions follow.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 
@@ -57,6 +66,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute once into the shared folder, so that the result outlives its executors."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Compute once into a table in the shared folder, so that the result outlives its executors.
+
+    A written table is computed in one pass (an RDD checkpoint takes two) and is
+    read back with column pruning and pushed filters.
+    """
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
