@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.catalog import inputs
 from millrace.catalog.registry import Registry
 from millrace.functions import arrays, images
-from millrace.operators import metrics
+from millrace.operators import metrics, vectors
 from millrace.session import spread
 
 registry = Registry()
@@ -74,7 +74,19 @@ dense AS (
 WITH {_DENSE} SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_linenumber AS label,
   array_to_string(data, ' ') AS data FROM dense""")
 def sparse_to_dense(spark, folder):
-    parsed = sparse_lines(spark, folder).withColumn("p", arrays.sparse_to_dense(F.col("line"), 1, 24))
+    parsed = vectors.parse_sparse_lines(sparse_lines(spark, folder), "line", 1, 24)
+    return parsed.select(*_KEYS, F.col("label")[0].alias("label"),
+                         F.array_join(F.col("data").cast("array<int>").cast("array<string>"), " ").alias("data"))
+
+
+@add("m3_parse_expression", f"""
+WITH {_DENSE} SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_partkey % 10 > 1 THEN l_linenumber END AS label,
+  CASE WHEN l_partkey % 10 > 1 THEN array_to_string(data, ' ') END AS data FROM dense""")
+def parse_expression(spark, folder):
+    """The same as a column expression, with lines that cannot be read: a bad number, an index out of range."""
+    bad = F.when(F.col("l_partkey") % 10 == 0, " 3:x").when(F.col("l_partkey") % 10 == 1, " 25:1").otherwise("")
+    lines = sparse_lines(spark, folder).withColumn("line", F.concat("line", bad))
+    parsed = lines.withColumn("p", arrays.sparse_to_dense(F.col("line"), 1, 24, strict=False))
     return parsed.select(*_KEYS, F.col("p.label")[0].alias("label"),
                          F.array_join(F.col("p.data").cast("array<int>").cast("array<string>"), " ").alias("data"))
 
