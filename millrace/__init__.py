@@ -10,6 +10,13 @@ Every operator is a ``DataFrame -> DataFrame`` function; the sub-packages are
 ``catalog``    the registered queries and their DuckDB equivalents
 """
 
+import sys
+
+from pyspark import cloudpickle
+
 from millrace.session import build_session, load_table, scratch_path
 
+# Functions sent to Python workers travel whole, so that the workers need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 __all__ = ["build_session", "load_table", "scratch_path"]

@@ -9,6 +9,7 @@ from millrace.catalog.array_queries import _PIXELS, pixels
 from millrace.catalog.registry import Registry
 from millrace.functions import images
 from millrace.operators import annotations
+from millrace.operators import pixels as pixel_ops
 from millrace.session import scratch_path
 from millrace.sources import sinks
 
@@ -202,12 +203,10 @@ shares AS (
 @add("c3_filter_color_fraction", f"""
 WITH {_HSV} SELECT vec_id AS file FROM shares WHERE vec_id % 3 = 2 OR share <= 0.5""")
 def filter_color_fraction(spark, folder):
-    return annotations.filter_color_fraction(annotated_pixels(spark, folder), 0.5, _LIMITS).select("file")
+    return pixel_ops.filter_color_fraction(annotated_pixels(spark, folder), 0.5, _LIMITS).select("file")
 
 
-@add("c3_color_fraction", f"WITH {_HSV} SELECT vec_id AS file, round(share, 9) AS share FROM shares")
+@add("c3_color_fraction", f"WITH {_HSV} SELECT vec_id AS file, round(share, 9) AS share FROM shares WHERE vec_id % 3 <> 2")
 def color_fraction(spark, folder):
-    first = F.col("rois")[0]
-    box = tuple(first[n] for n in annotations.BOX[1:])
-    share = images.colour_fraction(F.col("pixels"), F.col("width"), box, _LIMITS)
-    return annotated_pixels(spark, folder).select("file", F.round(share, 9).alias("share"))
+    images = pixel_ops.with_colour_shares(annotated_pixels(spark, folder), _LIMITS)
+    return images.filter(F.col("file") % 3 != 2).select("file", F.round(F.col("shares")[0], 9).alias("share"))

@@ -8,6 +8,7 @@ from millrace.catalog import inputs
 from millrace.catalog.registry import Registry
 from millrace.functions import arrays, images
 from millrace.operators import metrics, vectors
+from millrace.operators import pixels as pixel_ops
 from millrace.session import spread
 
 registry = Registry()
@@ -309,7 +310,8 @@ SELECT vec_id, f.pos, round(CASE WHEN turn = 0
 FROM flat f JOIN draws USING (vec_id) JOIN means USING (vec_id) JOIN bright_means bm USING (vec_id)
 JOIN bright ON bright.vec_id = f.vec_id AND bright.pos = f.pos""")
 def pixel_jitter(spark, folder):
-    return cells(pixels(spark, folder).withColumn("p", images.pixel_jitter(F.col("p"), F.col("vec_id"), seed=5)), "p", "vec_id")
+    out = pixel_ops.pixel_jitter(pixels(spark, folder), "p", "vec_id", enabled=("brightness", "contrast"), seed=5)
+    return cells(out, "p", "vec_id")
 
 
 @add("j15_saturation", f"""
@@ -317,13 +319,12 @@ WITH {_FLAT}, draws AS (SELECT vec_id, {inputs.sql_hash01('6saturation', 'vec_id
 SELECT vec_id, pos, round(least(greatest(x * a + (1 - a) * g, 0.0), 255.0), 6) AS x
 FROM flat JOIN draws USING (vec_id) JOIN gray USING (vec_id) WHERE gray.pixel = pos // 3""")
 def saturation(spark, folder):
-    out = images.pixel_jitter(F.col("p"), F.col("vec_id"), enabled=("saturation",), seed=6)
-    return cells(pixels(spark, folder).withColumn("p", out), "p", "vec_id")
+    return cells(pixel_ops.pixel_jitter(pixels(spark, folder), "p", "vec_id", enabled=("saturation",), seed=6), "p", "vec_id")
 
 
 @add("j16_lighting_jitter")
 def lighting_jitter(spark, folder):
-    return cells(metrics.lighting_jitter(pixels(spark, folder), "p", "vec_id", seed=3), "p", "vec_id", digits=4)
+    return cells(pixel_ops.pixel_jitter(pixels(spark, folder), "p", "vec_id", enabled=("lighting",), seed=3), "p", "vec_id", digits=4)
 
 
 @add("j17_alpha_blend", f"""

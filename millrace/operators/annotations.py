@@ -8,14 +8,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.images import YELLOW, colour_checked, colour_fraction, rect_ratio
+from millrace.functions.images import rect_ratio
 from millrace.plans import lookup_join, numbered, top_n
 from millrace.session import materialize
 
-# Smallest box share, regions kept per class, share of coloured pixels that removes an image.
+# Smallest box share, regions kept per class.
 MIN_RATIO = 0.04
 CLASS_CAP = 600
-COLOUR_SHARE = 0.5
 BOX = ("cls", "xmin", "ymin", "xmax", "ymax")
 
 
@@ -70,25 +69,6 @@ def remaining_files(files: DataFrame, removed: DataFrame, file: str = "file") ->
     return lookup_join(files, removed.select(file).distinct(), [file], "left_anti")
 
 
-def removed_by_colour(
-    rois: Column, pixels: Column, width: Column, share: float = COLOUR_SHARE,
-    limits: Sequence[Sequence[int]] = YELLOW,
-) -> Column:
-    """True if a colour-checked region of the list has more than ``share`` of its pixels inside the limits."""
-
-    def coloured(r: Column) -> Column:
-        box = (r["xmin"], r["ymin"], r["xmax"], r["ymax"])
-        return colour_checked(r["cls"]) & F.coalesce(colour_fraction(pixels, width, box, limits) > share, F.lit(False))
-
-    return F.exists(rois, coloured)
-
-
-def filter_color_fraction(images: DataFrame, share: float = COLOUR_SHARE, limits: Sequence[Sequence[int]] = YELLOW) -> DataFrame:
-    """Images ``(file, width, pixels, rois)`` not removed by colour; pixels are read only for checked classes."""
-    removed = removed_by_colour(F.col("rois"), F.col("pixels"), F.col("width"), share, limits)
-    return images.filter(~removed)
-
-
 def cap_per_class_any(
     rois: DataFrame, cap: int = CLASS_CAP, file: str = "file", cls: str = "cls"
 ) -> DataFrame:

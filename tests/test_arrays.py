@@ -1,10 +1,12 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.functions import arrays, images, text
+from millrace.functions import arrays, text
 from millrace.operators import metrics
+from millrace.operators.pixels import hsv, pixel_jitter
 from millrace.operators.vectors import parse_sparse_lines
 
 
@@ -112,12 +114,22 @@ def test_group_softmax_sums_to_one(spark):
     assert out[0] == 1 and sum(out[1:]) == pytest.approx(1)
 
 
-def test_hsv(spark):
-    def hsv(b, g, r):
-        return tuple(one(spark, images.hsv(F.lit(b), F.lit(g), F.lit(r))))
+def test_hsv():
+    def of(*bgr):
+        return tuple(int(v) for v in hsv(np.array([bgr]))[0])
 
-    assert hsv(0, 0, 255) == (0, 255, 255) and hsv(0, 255, 0) == (60, 255, 255) and hsv(255, 0, 0) == (120, 255, 255)
-    assert hsv(0, 255, 255) == (30, 255, 255) and hsv(7, 7, 7) == (0, 0, 7) and hsv(128, 0, 255)[0] in range(160, 176)
+    assert of(0, 0, 255) == (0, 255, 255) and of(0, 255, 0) == (60, 255, 255) and of(255, 0, 0) == (120, 255, 255)
+    assert of(0, 255, 255) == (30, 255, 255) and of(7, 7, 7) == (0, 0, 7) and of(128, 0, 255)[0] in range(160, 176)
+
+
+def test_lighting_moves_all_pixels_alike(spark):
+    rows = [(1, [10.0, 20.0, 200.0, 90.0, 80.0, 120.0, 50.0, 60.0, 70.0])]
+    df = spark.createDataFrame(rows, "id long, p array<double>")
+    out = np.array(pixel_jitter(df, "p", "id", enabled=("lighting",)).first()["p"]).reshape(-1, 3)
+    moved = out - np.array(rows[0][1]).reshape(-1, 3)
+    inside = (out > 0) & (out < 255)
+    for c in range(3):
+        assert np.ptp(moved[inside[:, c], c]) < 1e-9
 
 
 def test_paths(spark):
