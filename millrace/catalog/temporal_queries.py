@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.catalog import inputs
 from millrace.catalog.registry import Registry
-from millrace.operators import temporal
+from millrace.operators import corpus, temporal
 from millrace.session import scratch_path
 from millrace.sources import files as scans
 
@@ -275,9 +275,8 @@ _WORDS = f"""WITH {inputs.SQL_TOKENS.lstrip()}, texts AS (SELECT doc_id, line_no
   SELECT *, length(text) AS n_chars, row_number() OVER (PARTITION BY length(text) ORDER BY {inputs.sql_hash32('len', 'id')}, id) AS n
   FROM texts WHERE length(text) BETWEEN 2 AND 16) WHERE n <= 20""")
 def sample_per_length(spark, folder):
-    tokens = inputs.corpus_tokens(spark, folder)
-    words = tokens.select("doc_id", "line_no", F.posexplode("tokens").alias("pos", "text"))
-    keyed = words.select(F.concat_ws(":", "doc_id", "line_no", "pos").alias("id"), "text")
+    words = corpus.token_rows(inputs.corpus_tokens(spark, folder), "doc_id", "line_no")
+    keyed = words.select(F.concat_ws(":", "doc_id", "line_no", "pos").alias("id"), F.col("token").alias("text"))
     return temporal.sample_per_length(keyed, 20, seed="len")
 
 
@@ -306,7 +305,7 @@ ocr AS (
 def ocr_predictions(spark, folder):
     """Every corpus word read from an image named after it; every fifth is misread."""
     doc, line, pos, token = (F.col(c) for c in ("doc_id", "line_no", "pos", "token"))
-    words = inputs.corpus_tokens(spark, folder).select("doc_id", "line_no", F.posexplode("tokens").alias("pos", "token"))
+    words = corpus.token_rows(inputs.corpus_tokens(spark, folder), "doc_id", "line_no")
     return words.select(
         doc, line, pos, F.concat(F.lit("img/"), F.concat_ws("-", doc, line, pos), F.lit("_"), token, F.lit(".png")).alias("file"),
         F.when((doc * 7 + line * 3 + pos) % 5 == 0, F.concat(token, F.lit("?"))).otherwise(token).alias("text"),

@@ -53,9 +53,19 @@ def line_tokens(df: DataFrame, line: str = "line", *, lower: bool = False, out:
     return df.withColumn(out, tokens(F.col(line), lower)).drop(line)
 
 
+def token_rows(df: DataFrame, *ids: str, column: str = "tokens") -> DataFrame:
+    """One row per token with its position.
+
+    The outer form is used because Spark puts a size test before an inner explode,
+    and so would cut every line twice.
+    """
+    rows = df.select(*ids, F.posexplode_outer(column).alias("pos", "token"))
+    return rows.filter(F.col("pos").isNotNull())
+
+
 def token_counts(df: DataFrame, column: str = "tokens") -> DataFrame:
     """Occurrences per token; counted per task before the shuffle, so frequent tokens stay small."""
-    return df.select(F.explode(column).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("cnt"))
+    return token_rows(df, column=column).groupBy("token").agg(F.count(F.lit(1)).alias("cnt"))
 
 
 def vocab_topk(counts: DataFrame, k: int) -> DataFrame:

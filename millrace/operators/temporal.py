@@ -21,6 +21,7 @@ MIN_COMPONENT = 25
 CROP_SHARE = 0.05
 START, END, UNPAVED = "bumpy_road_start", "bumpy_road_end", "unpaved_road"
 EARTH_RADIUS_M = 6_371_000.0
+PACK = 64
 
 
 # -- filters -----------------------------------------------------------------------
@@ -182,24 +183,37 @@ def match_way_section(points: DataFrame, sections: DataFrame, cell: float = 0.00
     """Add ``section_id`` and ``distance_m`` of the nearest section in the point's grid cell or the eight around it.
 
     ``cell`` (degrees) should be about the length of a section. Sections are copied
-    to the cells around them; crowded cells are spread by :func:`lookup_join`.
+    to the cells around them, in packs of at most ``PACK``; a point meets a pack as
+    one row, and crowded cells are spread by :func:`lookup_join`.
     Sections at the same place are compared once, under their lowest id.
     """
     row, col = F.floor(F.col("lat") / cell), F.floor(F.col("lon") / cell)
     near = F.array(*[F.lit(d) for d in (-1, 0, 1)])
     places = sections.groupBy("lat", "lon").agg(F.min("section_id").alias("section_id"))
-    copies = materialize(
+    copies = (
         places.select("section_id", F.col("lat").alias("_lat"), F.col("lon").alias("_lon"), row.alias("_r"), col.alias("_c"))
         .withColumn("_dr", F.explode(near))
         .withColumn("_dc", F.explode(near))
         .select("section_id", "_lat", "_lon", (F.col("_r") + F.col("_dr")).alias("_row"), (F.col("_c") + F.col("_dc")).alias("_col"))
     )
+    packed = materialize(
+        numbered(copies, ["_row", "_col"], ["section_id"], "_n")
+        .groupBy("_row", "_col", F.floor((F.col("_n") - 1) / PACK).alias("_pack"))
+        .agg(F.collect_list(F.struct("section_id", "_lat", "_lon")).alias("_sections"))
+        .drop("_pack")
+    )
     placed = points.select(point_id, "lat", "lon", row.alias("_row"), col.alias("_col"))
-    distance = haversine(F.col("lat"), F.col("lon"), F.col("_lat"), F.col("_lon"))
+    best = F.array_min(F.transform(
+        "_sections",
+        lambda s: F.struct(
+            haversine(F.col("lat"), F.col("lon"), s["_lat"], s["_lon"]).alias("d"), s["section_id"].alias("section_id")
+        ),
+    ))
     nearest = (
-        lookup_join(placed, copies, ["_row", "_col"], "left")
+        lookup_join(placed, packed, ["_row", "_col"], "left")
+        .select(point_id, best.alias("_best"))
         .groupBy(point_id)
-        .agg(F.min(F.when(F.col("section_id").isNotNull(), F.struct(distance.alias("d"), "section_id"))).alias("_best"))
+        .agg(F.min("_best").alias("_best"))
     )
     return nearest.select(point_id, F.col("_best.section_id").alias("section_id"), F.col("_best.d").alias("distance_m"))
 

@@ -138,7 +138,8 @@ def _summary(run: Run, value: Column, order: Sequence[str]) -> Column:
         return F.count(F.lit(1) if run.value is None else value)
     if run.kind in ("sum", "max", "min"):
         return getattr(F, run.kind)(value)
-    rank = F.when(value.isNotNull(), F.struct(*[F.col(c) for c in order]))
+    place = F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(c) for c in order])
+    rank = F.when(value.isNotNull(), place)
     return F.max_by(value, rank) if run.kind == "last" else F.min_by(value, rank)
 
 
