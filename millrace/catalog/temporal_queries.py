@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.catalog import inputs
 from millrace.catalog.registry import Registry
 from millrace.operators import corpus, temporal
-from millrace.session import scratch_path
+from millrace.session import scratch_path, spread
 from millrace.sources import files as scans
 
 registry = Registry()
@@ -192,7 +192,7 @@ best AS (SELECT id, min((d, section_id)) AS b FROM pairs GROUP BY id)
 SELECT p.id, b[2] AS section_id, round(b[1], 3) AS distance_m FROM points p LEFT JOIN best USING (id)""")
 def match_way_section(spark, folder):
     k, p = F.col("o_orderkey"), F.col("p_partkey")
-    points = table(spark, folder, "orders").select(
+    points = spread(table(spark, folder, "orders").select("o_orderkey")).select(
         k.alias("id"), (45 + (k % 100 + k * 31 % 17 / 17.0) * 0.001).alias("lat"),
         (7 + (F.floor(k / 750) + k * 13 % 19 / 19.0) * 0.001).alias("lon"))
     sections = table(spark, folder, "part").select(

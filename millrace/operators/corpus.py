@@ -219,7 +219,13 @@ def noise_words(
             .otherwise(F.array(word))
         )
 
-    return F.flatten(F.transform(words, emit))
+    return _if_any(words, [*replacements, *(drops if drop_prob > 0 else ())], F.flatten(F.transform(words, emit)))
+
+
+def _if_any(words: Column, triggers: Collection[str], noisy: Column) -> Column:
+    """``noisy`` for lines with a word that noise can begin at; other lines are left alone."""
+    begins = F.array(*[F.lit(t) for t in dict.fromkeys(triggers)])
+    return F.when(F.arrays_overlap(words, begins), noisy).otherwise(words)
 
 
 def noise_bigrams(
@@ -240,6 +246,7 @@ def noise_bigrams(
     singles = {k: v for k, v in replacements.items() if " " not in k}
     doubles = {k: v for k, v in replacements.items() if " " in k}
     table = _literal_map(replacements)
+    firsts = list(dict.fromkeys(k.split(" ")[0] for k in doubles))
 
     def pair(at: Column) -> Column:
         return F.concat_ws(" ", F.try_element_at(words, at + 1), F.try_element_at(words, at + 2))
@@ -248,7 +255,8 @@ def noise_bigrams(
         return F.try_element_at(words, at + 1).isin(*singles) & (hash01(f"{seed}r", *key, at) < replace_prob)
 
     def pair_hit(at: Column) -> Column:
-        return pair(at).isin(*doubles) & (hash01(f"{seed}p", *key, at) < replace_prob) & ~single_hit(at)
+        begins = F.try_element_at(words, at + 1).isin(*firsts)
+        return begins & pair(at).isin(*doubles) & (hash01(f"{seed}p", *key, at) < replace_prob) & ~single_hit(at)
 
     positions = F.when(F.size(words) > 1, F.sequence(F.lit(0), F.size(words) - 2)).otherwise(
         F.array().cast("array<int>")
@@ -272,7 +280,7 @@ def noise_bigrams(
 
         return F.flatten(F.transform(words, emit))
 
-    return let(chosen, emit_all)
+    return _if_any(words, [*singles, *firsts, *(drops if drop_prob > 0 else ())], let(chosen, emit_all))
 
 
 def encode_pairs(df: DataFrame, vocab: DataFrame, unknown: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.arrays import argmax, cross_entropy, softmax, squared_error
 from millrace.plans import lookup_join, numbered
-from millrace.session import materialize
+from millrace.session import materialize, spread
 
 # Fixed value: the smallest normal 32-bit float, the floor of a probability.
 FLOAT_MIN = 1.17549435e-38
@@ -75,7 +75,7 @@ def tree_paths(tree: DataFrame) -> DataFrame:
     Paths double in length each round, so a tree of depth d takes about log2(d)
     joins. A cycle is an error.
     """
-    paths = materialize(tree.select("node", F.array("node").alias("path"), F.col("parent").alias("tip")))
+    paths = materialize(spread(tree).select("node", F.array("node").alias("path"), F.col("parent").alias("tip")))
     open_nodes, rounds = paths.filter(F.col("tip") >= 0).count(), 0
     limit = paths.count().bit_length() + 1
     while open_nodes:
