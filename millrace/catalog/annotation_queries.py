@@ -206,7 +206,7 @@ def filter_color_fraction(spark, folder):
     return pixel_ops.filter_color_fraction(annotated_pixels(spark, folder), 0.5, _LIMITS).select("file")
 
 
-@add("c3_color_fraction", f"WITH {_HSV} SELECT vec_id AS file, round(share, 9) AS share FROM shares WHERE vec_id % 3 <> 2")
+@add("c3_color_fraction", f"WITH {_HSV} SELECT vec_id AS file, CASE WHEN vec_id % 3 <> 2 THEN round(share, 9) END AS share FROM shares")
 def color_fraction(spark, folder):
     images = pixel_ops.with_colour_shares(annotated_pixels(spark, folder), _LIMITS)
-    return images.filter(F.col("file") % 3 != 2).select("file", F.round(F.col("shares")[0], 9).alias("share"))
+    return images.select("file", F.round(F.col("shares")[0], 9).alias("share"))

@@ -183,12 +183,13 @@ def checkpoint_files(spark: SparkSession, folder: str) -> DataFrame:
     name = F.concat(F.lit("/models/m"), F.col("o_custkey").cast("string"), F.lit("_iter_"),
                     F.col("o_orderkey").cast("string"), F.lit(".solverstate"),
                     F.when(F.col("o_orderkey") % 3 == 0, ".h5").otherwise(""))
-    return orders.select(F.col("o_custkey").alias("model"), name.alias("path"), micros(F.col("o_orderdate")).alias("mtime"))
+    return orders.select(F.col("o_custkey").alias("model"), name.alias("path"), micros(F.col("o_orderdate")).alias("mtime"),
+                         F.col("o_orderstatus").alias("status"))
 
 
 def weight_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Weight files of every second model."""
-    orders = load_table(spark, folder, "orders").filter(F.col("o_custkey") % 2 == 0)
+    """Weight files, one per urgent order."""
+    orders = load_table(spark, folder, "orders").filter("o_orderpriority = '1-URGENT'")
     name = F.concat(F.lit("/weights/m"), F.col("o_custkey").cast("string"), F.lit("_"),
                     F.col("o_orderkey").cast("string"), F.lit(".caffemodel"))
     return orders.select(F.col("o_custkey").alias("model"), name.alias("path"), micros(F.col("o_orderdate")).alias("mtime"))
@@ -197,12 +198,13 @@ def weight_files(spark: SparkSession, folder: str) -> DataFrame:
 SQL_CHECKPOINTS = r"""
 files AS (
   SELECT o_custkey AS model, '/models/m' || o_custkey || '_iter_' || o_orderkey || '.solverstate'
-    || CASE WHEN o_orderkey % 3 = 0 THEN '.h5' ELSE '' END AS path, epoch_us(o_orderdate) AS mtime
+    || CASE WHEN o_orderkey % 3 = 0 THEN '.h5' ELSE '' END AS path, epoch_us(o_orderdate) AS mtime,
+    o_orderstatus AS status
   FROM orders),
 weights AS (
   SELECT o_custkey AS model, '/weights/m' || o_custkey || '_' || o_orderkey || '.caffemodel' AS path,
     epoch_us(o_orderdate) AS mtime
-  FROM orders WHERE o_custkey % 2 = 0),
+  FROM orders WHERE o_orderpriority = '1-URGENT'),
 states AS (
   SELECT *, regexp_extract(path, '^(?:.*/)?(.*_)([0-9]+)\.solverstate(.*)$', 1) AS prefix,
     CAST(regexp_extract(path, '_([0-9]+)\.solverstate', 1) AS BIGINT) AS iter,

@@ -257,24 +257,24 @@ def lookup_with_default(spark, folder):
 
 
 @add("d8_tag_latest", """
-WITH latest AS (SELECT DISTINCT 'g' || p_brand AS grp, p_type || ':' || p_size AS name_tag FROM part WHERE p_partkey % 3 = 0)
-SELECT p_partkey, 'g' || p_brand AS "group", p_type || ':' || p_size AS name_tag,
+WITH latest AS (SELECT DISTINCT 'g' || p_brand AS grp, p_type || ':' || p_size AS name_tag FROM part WHERE p_size > 40)
+SELECT p_partkey, p_size, 'g' || p_brand AS "group", p_type || ':' || p_size AS name_tag,
   ('g' || p_brand, p_type || ':' || p_size) IN (SELECT (grp, name_tag) FROM latest) AS is_latest FROM part""")
 def tag_latest(spark, folder):
     images = table(spark, folder, "part").select(
-        "p_partkey", F.concat(F.lit("g"), "p_brand").alias("group"), F.concat("p_type", F.lit(":"), s("p_size")).alias("name_tag"))
-    return manifests.tag_latest(images, images.filter(F.col("p_partkey") % 3 == 0))
+        "p_partkey", "p_size", F.concat(F.lit("g"), "p_brand").alias("group"), F.concat("p_type", F.lit(":"), s("p_size")).alias("name_tag"))
+    return manifests.tag_latest(images, images.filter(F.col("p_size") > 40).select("group", "name_tag"))
 
 
 @add("h1_changed_minus_deleted", """
 SELECT unnest(string_split(o_orderpriority || ';' || o_orderstatus || ';img/' || o_custkey, ';')) AS name FROM orders
 EXCEPT ALL
-SELECT unnest(string_split(o_orderstatus || ';img/' || o_custkey, ';')) FROM orders WHERE o_orderkey % 3 = 0""")
+SELECT unnest(string_split(o_orderstatus || ';img/' || o_custkey, ';')) FROM orders WHERE o_orderstatus = 'F'""")
 def changed_minus_deleted(spark, folder):
     orders = table(spark, folder, "orders")
     image = F.concat(F.lit("img/"), s("o_custkey"))
     changed = orders.select(F.concat_ws(";", "o_orderpriority", "o_orderstatus", image).alias("names"))
-    deleted = orders.filter(F.col("o_orderkey") % 3 == 0).select(F.concat_ws(";", "o_orderstatus", image).alias("names"))
+    deleted = orders.filter("o_orderstatus = 'F'").select(F.concat_ws(";", "o_orderstatus", image).alias("names"))
     return manifests.changed_minus_deleted(changed, deleted)
 
 
@@ -374,7 +374,7 @@ SELECT p_partkey, p_type || ':' || p_size AS name_tag, CASE WHEN p_partkey % 2 =
 FROM part""")
 def image_name_tag(spark, folder):
     kind = F.when(F.col("p_partkey") % 2 == 0, "custom").otherwise(F.lower("p_brand"))
-    path = F.concat_ws("/", F.lit("dockers/registry-jobs"), kind, "p_type", s("p_size"))
+    path = F.concat_ws("/", F.lit("images"), kind, "p_type", s("p_size"))
     return table(spark, folder, "part").select("p_partkey", text.image_name_tag(path).alias("p")).select("p_partkey", "p.*")
 
 

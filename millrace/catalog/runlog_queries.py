@@ -135,23 +135,34 @@ def loss_extrema(spark, folder):
 
 
 @add("i12_status_json", f"""
-{_STATUS} SELECT run_id, line_no, last_loss AS last_err, progress AS last_progress, tot_epochs, max_loss AS g_max_err,
-  'train' AS command_name, 1 AS n_fin FROM status""")
+{_STATUS},
+newest AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY line_no DESC) AS rn FROM status) WHERE rn = 1),
+epochs AS (
+  SELECT p.run_id, p.iter, p.loss, (row_number() OVER (PARTITION BY p.run_id ORDER BY p.line_no) - 1) // 5 AS part, p.line_no
+  FROM parsed p JOIN newest n ON n.run_id = p.run_id AND p.line_no < n.line_no WHERE p.loss IS NOT NULL),
+parts AS (
+  SELECT run_id, part, count(*) AS n_fin, arg_max(iter, line_no) AS last_iter, arg_max(loss, line_no) AS last_fin FROM epochs GROUP BY ALL)
+SELECT n.run_id, CAST(coalesce(part, 0) AS INTEGER) AS part, last_loss AS last_err, progress AS last_progress, tot_epochs,
+  max_loss AS g_max_err, 'train' AS command_name, CAST(coalesce(n_fin, 0) AS INTEGER) AS n_fin, last_iter, last_fin
+FROM newest n LEFT JOIN parts USING (run_id)""")
 def status_json(spark, folder):
-    """Builds the document of every progress line, then reads it back from its JSON text."""
-    status = runlogs.running_loss_status(parsed_losses(spark, folder, marked_only=True))
-    newest = F.array(F.array(F.col("tot_epochs").cast("double"), F.col("last_loss")))
-    document = rx.status_json(F.col("last_loss"), F.col("tot_epochs") - 1, F.col("progress"), F.col("min_loss"),
-                              F.col("max_loss"), F.lit("logrank.0.log"), F.lit("train"), newest)
-    text = F.col("document")
-    return status.withColumn("document", document).select(
-        "run_id", "line_no",
-        F.get_json_object(text, "$.lastErr").cast("double").alias("last_err"),
-        F.get_json_object(text, "$.lastProgress").cast("double").alias("last_progress"),
-        F.get_json_object(text, "$.totEpochs").cast("long").alias("tot_epochs"),
-        F.get_json_object(text, "$.gMaxErr").cast("double").alias("g_max_err"),
-        F.get_json_object(text, "$.commands[0].name").alias("command_name"),
-        F.json_array_length(F.get_json_object(text, "$.commands[0].finEpochs")).alias("n_fin"))
+    """The newest document of every run, five epochs to a part, read back from its JSON text."""
+    parsed = parsed_losses(spark, folder, marked_only=True)
+    documents = runlogs.status_documents(
+        runlogs.newest_status(runlogs.running_loss_status(parsed)), runlogs.finished_epochs(parsed),
+        log="logrank.0.log", command="train", max_epochs=5)
+    epochs = F.from_json(F.get_json_object("document", "$.commands[0].finEpochs"), "array<array<double>>")
+
+    def field(path, kind):
+        return F.get_json_object("document", path).cast(kind)
+
+    return documents.withColumn("epochs", epochs).select(
+        "run_id", "part", field("$.lastErr", "double").alias("last_err"), field("$.lastProgress", "double").alias("last_progress"),
+        field("$.totEpochs", "long").alias("tot_epochs"), field("$.gMaxErr", "double").alias("g_max_err"),
+        field("$.commands[0].name", "string").alias("command_name"), F.size("epochs").alias("n_fin"),
+        F.try_element_at("epochs", F.lit(-1))[0].cast("long").alias("last_iter"),
+        F.try_element_at("epochs", F.lit(-1))[1].alias("last_fin"))
 
 
 @add("i13_percent_progress", """
@@ -185,14 +196,15 @@ def latest_two(spark, folder):
 WITH {inputs.SQL_CHECKPOINTS},
 models AS (SELECT c_custkey AS model FROM customer),
 newest AS (SELECT model, arg_max(path, (mtime, path)) AS path FROM weights GROUP BY model),
-chosen AS (SELECT model, path FROM ranked_states WHERE rank = 2 AND iter % 4 = 0)
+chosen AS (SELECT model, path FROM (
+  SELECT *, row_number() OVER (PARTITION BY model ORDER BY iter DESC, path) AS rn FROM states WHERE status = 'P') WHERE rn = 2)
 SELECT m.model, coalesce(c.path, n.path) AS path,
   CASE WHEN c.path IS NOT NULL THEN 'snapshot' WHEN n.path IS NOT NULL THEN 'weights' END AS kind
 FROM models m LEFT JOIN chosen c ON c.model = m.model LEFT JOIN newest n ON n.model = m.model""")
 def fallback_newest(spark, folder):
     models = inputs.load_table(spark, folder, "customer").select(F.col("c_custkey").alias("model"))
-    states = runlogs.checkpoints(inputs.checkpoint_files(spark, folder))
-    chosen = runlogs.second_latest_checkpoint(states, ["model"]).filter(F.col("iter") % 4 == 0)
+    states = runlogs.checkpoints(inputs.checkpoint_files(spark, folder).filter("status = 'P'"))
+    chosen = runlogs.second_latest_checkpoint(states, ["model"])
     return runlogs.fallback_newest(models, chosen, inputs.weight_files(spark, folder), ["model"])
 
 

@@ -94,7 +94,7 @@ def _quote(text: str) -> str:
 # -- image names ---------------------------------------------------------------
 
 
-def image_name_tag(path: Column, root: str = "dockers/registry-jobs/") -> Column:
+def image_name_tag(path: Column, root: str = "images/") -> Column:
     """Parts of ``<root><type>/.../name/tag``.
 
     ``name_tag`` is ``name:tag``; ``type_prefix`` is the first component when it is

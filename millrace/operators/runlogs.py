@@ -19,9 +19,10 @@ from millrace.functions.logs import (
     loss_iteration,
     percent,
     solver_fields,
+    status_json,
     step_fields,
 )
-from millrace.plans import Run, Splits, find_splits, lookup_join, running, top_n
+from millrace.plans import Run, Splits, find_splits, lookup_join, numbered, running, top_n
 from millrace.session import materialize
 
 RUN, LINE_NO = "run_id", "line_no"
@@ -150,6 +151,38 @@ def finished_epochs(parsed: DataFrame, keys: Sequence[str] = (RUN,), order: Sequ
     return parsed.filter(F.col("loss").isNotNull()).select(*keys, *order, "iter", "loss")
 
 
+def newest_status(status: DataFrame, keys: Sequence[str] = (RUN,), order: Sequence[str] = (LINE_NO,)) -> DataFrame:
+    """The status at the last progress line of each run."""
+    fall = status.withColumn("_fall", -F.col(order[0]))
+    return top_n(fall, keys, ["_fall"], 1).drop("_fall")
+
+
+def status_documents(
+    newest: DataFrame, epochs: DataFrame, *, log: str, command: str, max_epochs: int = 10_000,
+    run: str = RUN, line_no: str = LINE_NO,
+) -> DataFrame:
+    """``(run_id, part, document)``: the JSON status of each run with its epochs before that status.
+
+    A run of ordinary length is one document with part 0; a longer one repeats the
+    status with the next ``max_epochs`` epochs, so that no text grows without bound.
+    """
+    newest = materialize(newest)
+    marks = newest.select(run, F.col(line_no).alias("_mark"))
+    before = lookup_join(epochs, marks, [run]).filter(F.col(line_no) <= F.col("_mark"))
+    part = F.floor((F.col("_n") - 1) / max_epochs).cast("int").alias("part")
+    lists = materialize(numbered(before, [run], [line_no], "_n").groupBy(run, part).agg(
+        F.array_sort(F.collect_list(F.struct("_n", "iter", "loss"))).alias("_epochs")))
+    none = F.array().cast(lists.schema["_epochs"].dataType)
+    bare = lookup_join(newest, materialize(lists.select(run).distinct()), [run], "left_anti")
+    joined = lookup_join(lists, newest, [run]).unionByName(
+        bare.select("*", F.lit(0).alias("part"), none.alias("_epochs")))
+    pairs = F.transform("_epochs", lambda e: F.array(e["iter"].cast("double"), e["loss"]))
+    document = status_json(
+        F.col("last_loss"), F.col("tot_epochs") - 1, F.col("progress"), F.col("min_loss"), F.col("max_loss"),
+        F.lit(log), F.lit(command), pairs)
+    return joined.select(run, "part", document.alias("document"))
+
+
 # -- checkpoints --------------------------------------------------------------------
 
 

@@ -42,7 +42,7 @@ def image_folder(spark: SparkSession, path: str, *, content: bool = False) -> Da
 
 
 def archives(spark: SparkSession, path: str) -> DataFrame:
-    """``(path, content)`` of zip archives."""
+    """``(path, content)`` of zip archives, each below the 2 GB a binary value can hold."""
     return spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path).select("path", "content")
 
 
