@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from millrace.catalog.registry import Registry
-from millrace.llm import packing, token_files
+from millrace.llm import bpe, packing, quality, secret_scan, simhash, token_files, toxicity
 from millrace.session import load_table, scratch_path
 
 registry = Registry()
@@ -19,6 +18,31 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_checksums(token_files.read_token_files(spark, path))
 
 
+@registry.add("op3_secret_scan")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.scan_documents(load_table(spark, folder, "documents"))
+
+
+@registry.add("op4_toxicity")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(load_table(spark, folder, "documents"), load_table(spark, folder, "labels"))
+
+
+@registry.add("op5_quality")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality(load_table(spark, folder, "documents"), load_table(spark, folder, "labels"))
+
+
+@registry.add("op8_simhash_near_duplicates")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(load_table(spark, folder, "documents"))
+
+
 @registry.add("op9_packing")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(load_table(spark, folder, "documents"))
+
+
+@registry.add("op10_bpe_codec")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.codec_digests(load_table(spark, folder, "documents"))
