@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,7 @@ from millrace.llm.common import WordTable, chunks, id_type, text_list, worker_ca
 from millrace.llm.labelled import id_remainder, sample
 
 WORD = re.compile(r"\w+")
+STEM = 4
 HASH_BITS = 40
 SCREEN_BITS = 20
 # Fixed odd multipliers that mix the words of a pair, for neighbours and for words with one between.
@@ -31,16 +33,19 @@ class Model:
 
 
 def gram_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Feature hashes of all words, neighbouring pairs and pairs with one word between, and the text of each."""
+    """Feature hashes of the texts, and the text of each: words, their stems, neighbouring pairs and pairs
+    with one word between. A stem is a word's first letters, which its inflected forms share."""
     import xxhash
 
-    table = worker_cache(("word-hash",), lambda: WordTable(lambda w: xxhash.xxh64_intdigest(w.encode())))
-    parts = [np.fromiter(map(table.__getitem__, found), np.uint64, len(found))
-             for found in (WORD.findall(t.lower()) for t in texts)]
-    sizes = [len(p) for p in parts]
-    words = np.concatenate([np.empty(0, np.uint64), *parts])
+    digest = xxhash.xxh64_intdigest
+    table = worker_cache(("word-hash",), lambda: WordTable(lambda w: digest(w.encode())))
+    stems = worker_cache(("stem-hash", STEM), lambda: WordTable(lambda w: digest(w[:STEM].encode(), 1)))
+    found = [WORD.findall(t.lower()) for t in texts]
+    sizes = [len(f) for f in found]
+    flat = list(chain.from_iterable(found))
+    words = np.fromiter(map(table.__getitem__, flat), np.uint64, len(flat))
     owner = np.repeat(np.arange(len(texts)), sizes)
-    hashes, owners = [words], [owner]
+    hashes, owners = [words, np.fromiter(map(stems.__getitem__, flat), np.uint64, len(flat))], [owner, owner]
     for gap, first, second in PAIRS:
         same = owner[:-gap] == owner[gap:]
         pair = words[:-gap] * np.uint64(first) + words[gap:] * np.uint64(second)
@@ -90,8 +95,8 @@ def ftrl(
 
 def fit(
     docs: DataFrame, labels: DataFrame, usable: Column, *, id_col: str = "doc_id", text_col: str = "text",
-    label_col: str = "toxic", per_class: int = 2000, epochs: int = 3, alpha: float = 0.2, beta: float = 1.0,
-    l1: float = 2.0, l2: float = 1.0, min_rows: int = 5,
+    label_col: str = "toxic", per_class: int = 1500, epochs: int = 8, alpha: float = 1.0, beta: float = 1.0,
+    l1: float = 8.0, l2: float = 0.0, min_rows: int = 5,
 ) -> Model:
     """Fit on at most ``per_class`` labelled documents of each class, those first by a hash of their ids.
 
