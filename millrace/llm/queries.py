@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.catalog.registry import Registry
-from millrace.llm import bpe, packing, quality, secret_scan, simhash, token_files, toxicity
+from millrace.llm import attribution, bpe, mpeg, packing, quality, secret_scan, simhash, token_files, toxicity, vector_topk
 from millrace.session import load_table, scratch_path
 
 registry = Registry()
@@ -18,6 +19,11 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_checksums(token_files.read_token_files(spark, path))
 
 
+@registry.add("op2_vector_topk")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_topk.top_products(load_table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @registry.add("op3_secret_scan")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.scan_documents(load_table(spark, folder, "documents"))
@@ -33,6 +39,16 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality(load_table(spark, folder, "documents"), load_table(spark, folder, "labels"))
 
 
+@registry.add("op6_section_tokens")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return attribution.section_tokens(load_table(spark, folder, "documents"))
+
+
+@registry.add("op7_audio_columns")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return mpeg.audio_columns(load_table(spark, folder, "documents"))
+
+
 @registry.add("op8_simhash_near_duplicates")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(load_table(spark, folder, "documents"))
