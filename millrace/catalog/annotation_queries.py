@@ -162,7 +162,7 @@ def cap_per_class_any(spark, folder):
     return annotations.cap_per_class_any(boxes(spark, folder), _CAP)
 
 
-# the pixel arrays as 5 x 4 images with two boxes each, every third image of a colour-checked class
+# the pixel arrays as 11 x 2 images with two boxes each, every third image of a colour-checked class
 _LIMITS = ((20, 30, 60), (120, 255, 255))
 
 
@@ -174,10 +174,10 @@ def annotated_pixels(spark, folder):
         return F.struct(cls.alias("cls"), *[v.cast("int").alias(n) for n, v in
                                             zip(annotations.BOX[1:], (xmin, ymin, xmax, ymax), strict=True)])
 
-    first = box(checked, vec % 3, vec % 2, vec % 3 + 2, F.lit(4))
-    second = box(F.lit("GIVE_WAY"), F.lit(0), F.lit(0), F.lit(5), F.lit(4))
+    first = box(checked, vec % 3, vec % 2, vec % 3 + 7, F.lit(2))
+    second = box(F.lit("GIVE_WAY"), F.lit(0), F.lit(0), F.lit(11), F.lit(2))
     return pixels(spark, folder).select(
-        vec.alias("file"), F.transform("p", lambda x: x.cast("int")).alias("pixels"), F.lit(5).alias("width"),
+        vec.alias("file"), F.transform("p", lambda x: x.cast("int")).alias("pixels"), F.lit(11).alias("width"),
         F.array(first, second).alias("rois"))
 
 
@@ -185,10 +185,10 @@ _HSV = f"""
 {_PIXELS},
 cells AS (
   SELECT vec_id, CAST(i AS INTEGER) AS i, CAST(p[i * 3 + 1] AS INTEGER) AS b, CAST(p[i * 3 + 2] AS INTEGER) AS g,
-    CAST(p[i * 3 + 3] AS INTEGER) AS r FROM px, range(20) AS t(i)),
+    CAST(p[i * 3 + 3] AS INTEGER) AS r FROM px, range(22) AS t(i)),
 inbox AS (
   SELECT *, greatest(b, g, r) AS v, greatest(b, g, r) - least(b, g, r) AS d FROM cells
-  WHERE i % 5 >= vec_id % 3 AND i % 5 < vec_id % 3 + 2 AND i // 5 >= vec_id % 2),
+  WHERE i % 11 >= vec_id % 3 AND i % 11 < vec_id % 3 + 7 AND i // 11 >= vec_id % 2),
 sectors AS (
   SELECT *, (d * CAST(CASE WHEN v = 0 THEN 0 ELSE round_even(1044480.0::DOUBLE / v, 0) END AS INTEGER) + 2048) >> 12 AS s,
     CASE WHEN v = r THEN g - b WHEN v = g THEN b - r + 2 * d ELSE r - g + 4 * d END AS hh FROM inbox),

@@ -179,14 +179,14 @@ def center_vector(spark, folder):
 
 # -- scores -------------------------------------------------------------------------------------
 
-_PRED = f"{_EMB}, pred AS (SELECT vec_id, label, list_slice(v, 1, 10) AS s FROM emb)"
+_PRED = f"{_EMB}, pred AS (SELECT vec_id, label, v AS s FROM emb)"
 _CELLS = f"""{_PRED},
 cells AS (SELECT vec_id, label, CAST(generate_subscripts(s, 1) - 1 AS INTEGER) AS node, unnest(s) AS x FROM pred)"""
 
 
 def predictions(spark, folder):
-    """Ten scores per sample: the first components of the embedding."""
-    return embeddings(spark, folder).select("vec_id", "label", F.slice("v", 1, 10).alias("scores"))
+    """A score per class and sample: the components of the embedding."""
+    return embeddings(spark, folder).select("vec_id", "label", F.col("v").alias("scores"))
 
 
 @add("e6_accuracy", f"""
@@ -210,9 +210,9 @@ def softmax_loss(spark, folder):
     return metrics.softmax_loss(predictions(spark, folder)).withColumn("loss", F.round("loss", 6))
 
 
-# a class tree over the ten scores: parent of each class, below 0 for a root
-PARENTS = (-1, -1, 0, 0, 0, 1, 1, 2, 2, 2)
-RANGES = ((0, 2), (2, 3), (5, 2), (7, 3))
+# a class tree over the scores: two roots (parent below 0), then three children of each class in turn
+PARENTS = (-1, -1, *((n - 2) // 3 for n in range(2, SIZE)))
+RANGES = ((0, 2), *((first, min(3, SIZE - first)) for first in range(2, SIZE, 3)))
 _TREE = "tree(node, parent) AS (VALUES " + ", ".join(f"({n}, {p})" for n, p in enumerate(PARENTS)) + ")"
 _GROUPED = f"""{_CELLS}, {_TREE},
 probs AS (
@@ -270,9 +270,11 @@ def tree_path_closure(spark, folder):
 
 # -- pixels ----------------------------------------------------------------------------------------
 
-# 60 values per image, read as 4 x 5 pixels of three channels
-_PIXELS = """px AS (SELECT vec_id, list_transform(list_slice(embedding, 1, 60), lambda x: CAST(floor(abs(CAST(x AS DOUBLE)) * 1000) % 256 AS DOUBLE)) AS p
-  FROM embeddings)"""
+# 64 values per image and two zeros, read as 2 x 11 pixels of three channels
+HEIGHT, WIDTH = 2, 11
+PIXELS = HEIGHT * WIDTH
+_PIXELS = """px AS (SELECT vec_id, list_concat(list_transform(embedding, lambda x: CAST(floor(abs(CAST(x AS DOUBLE)) * 1000) % 256 AS DOUBLE)),
+  [0.0::DOUBLE, 0.0::DOUBLE]) AS p FROM embeddings)"""
 _FLAT = f"""{_PIXELS},
 flat AS (SELECT vec_id, CAST(generate_subscripts(p, 1) - 1 AS INTEGER) AS pos, unnest(p) AS x FROM px),
 gray AS (SELECT vec_id, pos // 3 AS pixel, max(x) FILTER (pos % 3 = 0) * 0.299::DOUBLE + max(x) FILTER (pos % 3 = 1) * 0.587::DOUBLE
@@ -280,17 +282,17 @@ gray AS (SELECT vec_id, pos // 3 AS pixel, max(x) FILTER (pos % 3 = 0) * 0.299::
 
 
 def pixels(spark, folder):
-    values = F.transform(F.slice("v", 1, 60), lambda x: (F.floor(F.abs(x) * 1000) % 256).cast("double"))
-    return embeddings(spark, folder).select("vec_id", values.alias("p"))
+    values = F.transform("v", lambda x: (F.floor(F.abs(x) * 1000) % 256).cast("double"))
+    return embeddings(spark, folder).select("vec_id", F.concat(values, F.array(F.lit(0.0), F.lit(0.0))).alias("p"))
 
 
 @add("j14_restore_image", f"""
-WITH {_PIXELS}, s AS (SELECT vec_id, CAST(unnest(range(60)) AS INTEGER) AS pos, list_transform(p, lambda x: x / 3 - 20) AS p FROM px)
-SELECT vec_id, pos, CAST(((trunc(p[(2 - pos % 3) * 20 + pos // 3 + 1] + [104.0, 117.0, 123.0][2 - pos % 3 + 1]) % 256) + 256) % 256 AS INTEGER) AS x
+WITH {_PIXELS}, s AS (SELECT vec_id, CAST(unnest(range({3 * PIXELS})) AS INTEGER) AS pos, list_transform(p, lambda x: x / 3 - 20) AS p FROM px)
+SELECT vec_id, pos, CAST(((trunc(p[(2 - pos % 3) * {PIXELS} + pos // 3 + 1] + [104.0, 117.0, 123.0][2 - pos % 3 + 1]) % 256) + 256) % 256 AS INTEGER) AS x
 FROM s""")
 def restore_image(spark, folder):
     data = pixels(spark, folder).withColumn("p", F.transform("p", lambda x: x / 3 - 20))
-    return data.select("vec_id", F.posexplode(images.restore_image(F.col("p"), 4, 5)).alias("pos", "x"))
+    return data.select("vec_id", F.posexplode(images.restore_image(F.col("p"), HEIGHT, WIDTH)).alias("pos", "x"))
 
 
 _B, _C = inputs.sql_hash01("5brightness", "vec_id"), inputs.sql_hash01("5contrast", "vec_id")
@@ -302,7 +304,7 @@ draws AS (SELECT vec_id, {inputs.sql_hash32('5order', 'vec_id')} % 2 AS turn, {_
 means AS (SELECT vec_id, avg(g) AS m FROM gray GROUP BY vec_id),
 bright AS (SELECT vec_id, pos, least(greatest(x * b, 0.0), 255.0) AS x FROM flat JOIN draws USING (vec_id)),
 bright_means AS (
-  SELECT vec_id, sum(x * CASE pos % 3 WHEN 0 THEN 0.299::DOUBLE WHEN 1 THEN 0.587::DOUBLE ELSE 0.114::DOUBLE END) / 20 AS m
+  SELECT vec_id, sum(x * CASE pos % 3 WHEN 0 THEN 0.299::DOUBLE WHEN 1 THEN 0.587::DOUBLE ELSE 0.114::DOUBLE END) / {PIXELS} AS m
   FROM bright GROUP BY vec_id)
 SELECT vec_id, f.pos, round(CASE WHEN turn = 0
     THEN least(greatest(bright.x * c + (1 - c) * bm.m, 0.0), 255.0)
@@ -322,21 +324,61 @@ def saturation(spark, folder):
     return cells(pixel_ops.pixel_jitter(pixels(spark, folder), "p", "vec_id", enabled=("saturation",), seed=6), "p", "vec_id")
 
 
-@add("j16_lighting_jitter")
+_NOISE = ", ".join(
+    f"sqrt(-2.0::DOUBLE * ln(1.0::DOUBLE - {inputs.sql_hash01(f'3light{i}', 'vec_id')})) "
+    f"* cos(2.0::DOUBLE * pi() * {inputs.sql_hash01(f'3light{i + 3}', 'vec_id')}) * 0.5::DOUBLE AS n{i + 1}" for i in range(3))
+
+
+def _sql_direction(i):
+    """The unit vector of eigenvalue ``e{i}``: the longest cross product of two rows of (covariance - e I), largest part positive."""
+    rows = [(f"(caa - e{i})", "cab", "cac"), ("cab", f"(cbb - e{i})", "cbc"), ("cac", "cbc", f"(ccc - e{i})")]
+    crosses = []
+    for (ax, ay, az), (bx, by, bz) in ((rows[0], rows[1]), (rows[0], rows[2]), (rows[1], rows[2])):
+        x, y, z = f"{ay} * {bz} - {az} * {by}", f"{az} * {bx} - {ax} * {bz}", f"{ax} * {by} - {ay} * {bx}"
+        crosses.append(f"{{'l': sqrt(pow({x}, 2) + pow({y}, 2) + pow({z}, 2)), 'v': [{x}, {y}, {z}]}}")
+    return f"list_max([{', '.join(crosses)}]) AS d{i}"
+
+
+def _sql_step(i):
+    """Direction ``i`` with its sign, times its eigenvalue and noise."""
+    sign = f"CASE WHEN list_filter(d{i}.v, lambda x: abs(x) = list_max(list_transform(d{i}.v, lambda y: abs(y))))[1] < 0 THEN -1.0 ELSE 1.0 END"
+    return f"list_transform(d{i}.v, lambda x: x / d{i}.l * {sign} * e{i} * n{i}) AS s{i}"
+
+
+@add("j16_lighting_jitter", f"""
+WITH {_FLAT},
+cells3 AS (SELECT vec_id, pos // 3 AS pixel, max(x) FILTER (pos % 3 = 0) / 255 AS a, max(x) FILTER (pos % 3 = 1) / 255 AS b,
+  max(x) FILTER (pos % 3 = 2) / 255 AS c FROM flat GROUP BY ALL),
+moments AS (SELECT vec_id, var_samp(a) AS caa, var_samp(b) AS cbb, var_samp(c) AS ccc, covar_samp(a, b) AS cab,
+  covar_samp(a, c) AS cac, covar_samp(b, c) AS cbc FROM cells3 GROUP BY vec_id),
+shape AS (SELECT *, (caa + cbb + ccc) / 3 AS q, sqrt((pow(caa - q, 2) + pow(cbb - q, 2) + pow(ccc - q, 2)
+  + 2 * (cab * cab + cac * cac + cbc * cbc)) / 6) AS w FROM moments),
+angles AS (SELECT *, acos(greatest(-1.0, least(1.0, ((caa - q) * ((cbb - q) * (ccc - q) - cbc * cbc) - cab * (cab * (ccc - q) - cbc * cac)
+  + cac * (cab * cbc - (cbb - q) * cac)) / (2 * w * w * w)))) / 3 AS phi FROM shape),
+eigen AS (SELECT *, q + 2 * w * cos(phi) AS e3, q + 2 * w * cos(phi + 2 * pi() / 3) AS e1, 3 * q - e1 - e3 AS e2 FROM angles),
+axes AS (SELECT vec_id, e1, e2, e3, {_NOISE}, {", ".join(map(_sql_direction, (1, 2, 3)))} FROM eigen),
+steps AS (SELECT vec_id, {", ".join(map(_sql_step, (1, 2, 3)))} FROM axes)
+SELECT vec_id, pos, round(least(greatest(x + 255 * (s1[pos % 3 + 1] + s2[pos % 3 + 1] + s3[pos % 3 + 1]), 0.0), 255.0), 4) AS x
+FROM flat JOIN steps USING (vec_id)""")
 def lighting_jitter(spark, folder):
     return cells(pixel_ops.pixel_jitter(pixels(spark, folder), "p", "vec_id", enabled=("lighting",), seed=3), "p", "vec_id", digits=4)
 
 
+# the 64 values as 4 x 4 pixels of four channels, over the 16 pixels made of the reversed values
 @add("j17_alpha_blend", f"""
-WITH {_PIXELS}, s AS (SELECT vec_id, CAST(unnest(range(48)) AS INTEGER) AS pos, p FROM px)
+WITH {_EMB}, px AS (SELECT vec_id, list_transform(v, lambda x: CAST(floor(abs(x) * 1000) % 256 AS DOUBLE)) AS p FROM emb),
+s AS (SELECT vec_id, CAST(unnest(range(48)) AS INTEGER) AS pos, p, list_reverse(p) AS r FROM px)
 SELECT vec_id, pos, CAST(floor(
-    p[pos + 1] * (1 / 255.0::DOUBLE) * ((255 - p[pos // 3 * 3 + 12]) * (1 / 255.0::DOUBLE)) * 255.0::DOUBLE
-    + p[60 - (pos // 3 * 3 + pos % 3)] * (1 / 255.0::DOUBLE) * (p[pos // 3 * 3 + 12] * (1 / 255.0::DOUBLE)) * 255.0::DOUBLE) AS INTEGER) AS x
+    (r[pos // 3 * 4 + pos % 3 + 1] + r[pos // 3 * 4 + 4]) % 256 * (1 / 255.0::DOUBLE) * ((255 - p[pos // 3 * 4 + 4]) * (1 / 255.0::DOUBLE)) * 255.0::DOUBLE
+    + p[pos // 3 * 4 + pos % 3 + 1] * (1 / 255.0::DOUBLE) * (p[pos // 3 * 4 + 4] * (1 / 255.0::DOUBLE)) * 255.0::DOUBLE) AS INTEGER) AS x
 FROM s""")
 def alpha_blend(spark, folder):
-    def overlay_value(i):
-        pixel = F.floor(i / 4).cast("int") * 3
-        return F.when(i % 4 == 3, F.element_at("p", pixel + 12)).otherwise(F.element_at("p", 60 - pixel - i % 4))
+    overlay = F.transform("v", lambda x: (F.floor(F.abs(x) * 1000) % 256).cast("double"))
+    data = embeddings(spark, folder).select("vec_id", overlay.alias("overlay")).withColumn("r", F.reverse("overlay"))
+
+    def below(i):
+        first = F.floor(i / 3).cast("int") * 4
+        return (F.element_at("r", first + i % 3 + 1) + F.element_at("r", first + 4)) % 256
 
-    data = pixels(spark, folder).withColumn("overlay", F.transform(F.sequence(F.lit(0), F.lit(63)), overlay_value))
-    return data.select("vec_id", F.posexplode(images.alpha_blend(F.slice("p", 1, 48), F.col("overlay"))).alias("pos", "x"))
+    background = F.transform(F.sequence(F.lit(0), F.lit(47)), below)
+    return data.select("vec_id", F.posexplode(images.alpha_blend(background, F.col("overlay"))).alias("pos", "x"))

@@ -141,8 +141,15 @@ def flatten_from(shape: Sequence[int], axis: int) -> list[int]:
 # -- arithmetic ----------------------------------------------------------------------
 
 
+def zipped(a: Column, b: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """Combine two arrays of one length; an error if the lengths differ, null if an array is null."""
+    unequal = F.raise_error(F.concat(
+        F.lit("arrays of unequal length: "), F.size(a).cast("string"), F.lit(" and "), F.size(b).cast("string")))
+    return F.when(F.size(a) == F.size(b), F.zip_with(a, b, combine)).when(F.size(a) != F.size(b), unequal)
+
+
 def elementwise(operation: str, *arrays: Column) -> Column:
-    """SUM (``+``), MUL (``*``), DIV (``/``) or MAX over arrays of one length, left to right."""
+    """SUM (``+``), MUL (``*``), DIV (``/``) or MAX over arrays of one length, left to right; unequal lengths are an error."""
 
     def divide(a: Column, b: Column) -> Column:
         infinite = F.when(a > 0, F.lit(float("inf"))).when(a < 0, F.lit(float("-inf"))).otherwise(F.lit(float("nan")))
@@ -161,7 +168,7 @@ def elementwise(operation: str, *arrays: Column) -> Column:
         raise ValueError(f"unknown elementwise operation: {operation}")
     out = arrays[0]
     for other in arrays[1:]:
-        out = F.zip_with(out, other, steps[operation])
+        out = zipped(out, other, steps[operation])
     return out
 
 
@@ -209,9 +216,9 @@ def cross_entropy(scores: Column, label: Column) -> Column:
 
 def squared_error(output: Column, target: Column, weights: Column | None = None) -> Column:
     """Sum of ``(o - t)^2``, each times its weight if weights are given."""
-    squares = F.zip_with(output, target, lambda o, t: (o - t) * (o - t))
+    squares = zipped(output, target, lambda o, t: (o - t) * (o - t))
     if weights is not None:
-        squares = F.zip_with(squares, weights, lambda s, w: s * w)
+        squares = zipped(squares, weights, lambda s, w: s * w)
     return total(squares)
 
 
@@ -223,11 +230,15 @@ def argmax(scores: Column) -> Column:
 # -- characters ------------------------------------------------------------------------
 
 
-def encode_chars(text: Column, charset: str, length: int = 16, null_code: int = 99) -> Column:
+def encode_chars(text: Column, charset: str, length: int = 16, null_code: int = 99, strict: bool = False) -> Column:
     """Character codes (position in ``charset``), padded with ``null_code`` to ``length``.
 
-    Characters outside the charset are coded ``null_code`` too; longer texts are cut.
+    Characters outside the charset are coded ``null_code`` too. What a text has beyond ``length``
+    characters is lost; with ``strict`` a longer text is an error.
     """
+    if strict:
+        too_long = F.raise_error(F.concat(F.lit("text is too long: "), text))
+        text = F.when(F.char_length(text) > length, too_long).otherwise(text)
     codes = F.transform(
         F.filter(F.split(text, ""), lambda c: c != ""),
         lambda c: _code(charset, c, null_code),

@@ -15,7 +15,10 @@ COLOUR_CHECKED = ("SPEED_LIMIT_", "SL_")
 
 
 def alpha_blend(background: Column, overlay: Column) -> Column:
-    """Lay a 4-channel overlay over 3-channel pixels by its alpha; whole numbers 0 to 255."""
+    """Lay a 4-channel overlay over 3-channel pixels by its alpha; whole numbers 0 to 255.
+
+    Fixed order of arithmetic: what is cut off at the end depends on it.
+    """
     unit = F.lit(1 / 255.0)
 
     def mix(value: Column, i: Column) -> Column:

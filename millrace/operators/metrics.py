@@ -2,41 +2,86 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.arrays import argmax, cross_entropy, softmax, squared_error
+from millrace.functions.arrays import argmax, cross_entropy, softmax, squared_error, zipped
 from millrace.plans import lookup_join, numbered
 from millrace.session import materialize, spread
 
 # Fixed value: the smallest normal 32-bit float, the floor of a probability.
 FLOAT_MIN = 1.17549435e-38
-WIDE = 256
+# sums that a task keeps before it hands them on
+HELD_VALUES = 4_000_000
 
 
 def group_mean_vector(df: DataFrame, group: str, vector: str, size: int | None = None) -> DataFrame:
     """``(group, n, mean)``: elementwise mean of vectors per group.
 
-    Vectors of a known small ``size`` are averaged as columns; others by position.
-    Both sum within each task before the shuffle.
+    All vectors of a group must have one length, ``size`` if it is given; anything else, and a
+    null element, is an error. Null vectors are left out. Each task adds its vectors up in Arrow
+    batches and gives one row per group, so that only those sums are shuffled, by position.
     """
-    if size is not None and size <= WIDE:
-        parts = [F.avg(F.get(vector, F.lit(i)).cast("double")).alias(f"_m{i}") for i in range(size)]
-        means = df.groupBy(group).agg(F.count(F.lit(1)).alias("n"), *parts)
-        return means.select(group, "n", F.array(*[f"_m{i}" for i in range(size)]).alias("mean"))
-    cells = df.select(group, F.posexplode(vector).alias("pos", "_x")).groupBy(group, "pos")
-    means = cells.agg(F.avg(F.col("_x").cast("double")).alias("m"), F.count(F.lit(1)).alias("c"))
-    pairs = F.array_sort(F.collect_list(F.struct("pos", "m")))  # one entry per position of a vector
-    return means.groupBy(group).agg(F.max("c").alias("n"), F.transform(pairs, lambda p: p["m"]).alias("mean"))
+    kind = df.schema[group].dataType.simpleString()
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[object, tuple[int, np.ndarray]] = {}
+        held = 0
+        for batch in batches:
+            lists = batch.column(1)
+            if lists.values.null_count:
+                raise ValueError("a vector has a null element")
+            flat, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
+            rows: dict[object, list[int]] = {}
+            for row, name in enumerate(batch.column(0).to_pylist()):
+                rows.setdefault(name, []).append(row)
+            for name, own in rows.items():
+                widths = offsets[1:][own] - offsets[:-1][own]
+                n, known = sums.get(name, (0, None))
+                width = int(widths[0]) if known is None else len(known)
+                if (widths != width).any() or size is not None and width != size:
+                    raise ValueError(f"vectors of unequal length in group {name}: {sorted(set(widths.tolist()) | {width})}")
+                total = np.zeros(width) if known is None else known
+                held += width if known is None else 0
+                for at in range(0, len(own), 256):
+                    starts = offsets[:-1][own[at : at + 256]]
+                    total = total + flat[starts[:, None] + np.arange(width)].sum(0)
+                sums[name] = n + len(own), total
+            if held > HELD_VALUES:
+                yield _partial(sums, batch.schema.field(0).type)
+                sums, held = {}, 0
+        if sums:
+            yield _partial(sums, batch.schema.field(0).type)
+
+    vectors = df.filter(F.col(vector).isNotNull()).select(F.col(group), F.col(vector).cast("array<double>"))
+    parts = materialize(vectors.mapInArrow(add_up, f"`{group}` {kind}, n long, sums array<double>"))
+    widths = parts.groupBy(group).agg(F.sum("n").alias("n"), F.min(F.size("sums")).alias("low"), F.max(F.size("sums")).alias("top"))
+    unequal = F.raise_error(F.concat(F.lit("vectors of unequal length in group "), F.col(group).cast("string")))
+    counts = widths.select(group, F.when(F.col("low") == F.col("top"), F.col("n")).otherwise(unequal).alias("n"))
+    cells = parts.select(group, F.posexplode_outer("sums").alias("pos", "_x"))
+    means = cells.groupBy(group, "pos").agg(F.sum("_x").alias("s"))
+    pairs = F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "s"))))  # one entry per position
+    totals = means.groupBy(group).agg(F.transform(pairs, lambda p: p["s"]).alias("_sums"))
+    same = [counts[group].eqNullSafe(totals[group])]
+    return counts.join(totals, same).select(
+        counts[group], "n", F.transform("_sums", lambda s: s / F.col("n")).alias("mean"))
+
+
+def _partial(sums: dict[object, tuple[int, np.ndarray]], kind: pa.DataType) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(sums), kind), pa.array([n for n, _ in sums.values()], pa.int64()),
+         pa.array([total for _, total in sums.values()], pa.list_(pa.float64()))], ["g", "n", "sums"])
 
 
 def center_vectors(df: DataFrame, group: str, vector: str, size: int | None = None, out: str = "centered") -> DataFrame:
-    """Subtract the mean of its group from every vector."""
+    """Subtract the mean of its group from every vector. A row without a group is dropped, a null vector gives null."""
     means = materialize(group_mean_vector(df, group, vector, size)).select(group, "mean")
     joined = lookup_join(df, means, [group])
-    return joined.withColumn(out, F.zip_with(vector, "mean", lambda x, m: x.cast("double") - m)).drop("mean")
+    return joined.withColumn(out, zipped(F.col(vector), F.col("mean"), lambda x, m: x.cast("double") - m)).drop("mean")
 
 
 def accuracy(df: DataFrame, scores: str = "scores", label: str = "label", *keys: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 Images are flat arrays, row-major, channels last. What is drawn per image (factors,
 order, noise) comes from hashed columns; only the arithmetic on pixels is numpy,
-one image at a time. Nothing is shuffled.
+over the images of one size of a batch together. Nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -25,37 +25,57 @@ LIGHT_STRENGTH = 0.5
 COLOUR_SHARE = 0.5
 
 
-def _gray(image: np.ndarray) -> np.ndarray:
-    return image @ np.asarray(GRAY)
+# Each blend is ``alpha * x + (1 - alpha) * reference``; the reference is this share of the pixel's own
+# luminance and this share of the image's mean luminance.
+REFERENCE = {"saturation": (1.0, 0.0), "brightness": (0.0, 0.0), "contrast": (0.0, 1.0)}
 
 
-def _saturation(image: np.ndarray, alpha: float, _noise: np.ndarray) -> np.ndarray:
-    return image * alpha + (1 - alpha) * _gray(image)[:, None]
+def blended(images: np.ndarray, alpha: np.ndarray, own: np.ndarray, mean: np.ndarray) -> np.ndarray:
+    """The affine form over a stack ``(image, pixel, channel)``; the other arguments are one number per image."""
+    luminance = images @ np.array(GRAY)
+    reference = own[:, None] * luminance + mean[:, None] * luminance.mean(1, keepdims=True)
+    return alpha[:, None, None] * images + ((1.0 - alpha)[:, None] * reference)[..., None]
 
 
-def _brightness(image: np.ndarray, alpha: float, _noise: np.ndarray) -> np.ndarray:
-    return image * alpha
+def colour_shift(images: np.ndarray, noise: np.ndarray) -> np.ndarray:
+    """A shift per image along the principal components of its colours.
 
-
-def _contrast(image: np.ndarray, alpha: float, _noise: np.ndarray) -> np.ndarray:
-    return image * alpha + (1 - alpha) * _gray(image).mean()
-
-
-def _lighting(image: np.ndarray, _alpha: float, noise: np.ndarray) -> np.ndarray:
-    spread, axes = np.linalg.eigh(np.cov(image / 255.0, rowvar=False))
-    # an axis may point either way: let its largest part be positive
-    axes = axes * np.where(axes[np.abs(axes).argmax(axis=0), range(3)] < 0, -1.0, 1.0)
-    return image + axes @ (spread * noise) * 255.0
-
-
-STEPS = {"saturation": _saturation, "brightness": _brightness, "contrast": _contrast, "lighting": _lighting}
+    Components in ascending order of their variance, each by its variance times its noise. The
+    largest part of a component's direction is taken positive, because either sign would do.
+    """
+    unit = images / 255.0
+    centred = unit - unit.mean(1, keepdims=True)
+    covariance = np.einsum("npi,npj->nij", centred, centred) / max(1, images.shape[1] - 1)
+    variance, directions = np.linalg.eigh(covariance)
+    leading = np.take_along_axis(directions, np.abs(directions).argmax(1)[:, None, :], 1)
+    directions = directions * np.where(leading < 0, -1.0, 1.0)
+    return np.einsum("nij,nj->ni", directions, variance * noise)[:, None, :] * 255.0
+
+
+def jittered(images: np.ndarray, turns: np.ndarray, alphas: np.ndarray, noise: np.ndarray, names: Sequence[str]) -> np.ndarray:
+    """A stack of images of one size after all jitters; ``turns[:, t]`` is the place in ``names`` of the image's t-th jitter."""
+    own, mean = (np.array([REFERENCE.get(n, (0.0, 0.0))[k] for n in names]) for k in (0, 1))
+    shifts = np.array([n == "lighting" for n in names])
+    for turn in turns.T:
+        images = images.copy()
+        shift = shifts[turn]
+        images[shift] += colour_shift(images[shift], noise[shift]) if shift.any() else 0.0
+        mix, at = ~shift, turn[~shift]
+        images[mix] = blended(images[mix], alphas[mix, at], own[at], mean[at])
+        images = np.clip(images, 0.0, 255.0)
+    return images
 
 
 def pixel_jitter(
     df: DataFrame, pixels: str, *key: str, enabled: Sequence[str] = ("brightness", "contrast", "lighting"), seed: object = 0
 ) -> DataFrame:
-    """Apply the enabled jitters to every image, in an order and with factors drawn per image; clipped to 0..255."""
-    keys, orders = [F.col(k) for k in key], list(permutations(enabled))
+    """Apply the enabled jitters to every image, in an order and with factors drawn per image; clipped to 0..255.
+
+    A null image stays null; an image of one pixel has no colour components and takes no shift.
+    """
+    if unknown := set(enabled) - {*REFERENCE, "lighting"}:
+        raise ValueError(f"unknown jitters: {sorted(unknown)}")
+    keys, orders = [F.col(k) for k in key], np.array(list(permutations(range(len(enabled)))))
     factors = {f"_f{i}": hash01(f"{seed}{name}", *keys) + F.lit(LOWEST.get(name, 0.0)) for i, name in enumerate(enabled)}
     uniform = {f"_u{i}": hash01(f"{seed}light{i}", *keys) for i in range(6)} if "lighting" in enabled else {}
     drawn = df.withColumns({"_order": hash32(f"{seed}order", *keys) % len(orders), **factors, **uniform})
@@ -64,18 +84,21 @@ def pixel_jitter(
 
     def jitter(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            alphas = batch[factor_names].to_numpy()
+            alphas, turns = batch[factor_names].to_numpy(), orders[batch["_order"].to_numpy()]
             noise = np.zeros((len(batch), 3))
             if uniform_names:
                 u = batch[uniform_names].to_numpy()
                 noise = np.sqrt(-2.0 * np.log(1.0 - u[:, :3])) * np.cos(2.0 * np.pi * u[:, 3:]) * LIGHT_STRENGTH
-            out = []
-            for row, values in enumerate(batch[pixels]):
-                image = np.asarray(values, dtype="float64").reshape(-1, 3)
-                for name in orders[batch["_order"].iat[row]]:
-                    step = STEPS[name](image, alphas[row, names.index(name)], noise[row])
-                    image = np.clip(step, 0.0, 255.0)
-                out.append(image.ravel())
+            out = pd.Series([None] * len(batch), index=batch.index, dtype="object")
+            sizes = batch[pixels].map(lambda v: -1 if v is None else len(v)).to_numpy()
+            for size in np.unique(sizes[sizes > 0]):
+                rows = np.flatnonzero(sizes == size)
+                stack = np.stack(batch[pixels].iloc[rows].to_list()).astype("float64").reshape(len(rows), -1, 3)
+                quiet = noise[rows] if stack.shape[1] > 1 else noise[rows] * 0.0
+                for row, image in zip(rows, jittered(stack, turns[rows], alphas[rows], quiet, names)):
+                    out.iat[row] = image.ravel()
+            for row in np.flatnonzero(sizes == 0):
+                out.iat[row] = np.empty(0)
             kept = batch.drop(columns=["_order", *factor_names, *uniform_names])
             yield kept.assign(**{pixels: out})
 
