@@ -132,6 +132,7 @@ logs AS (
     END AS line
   FROM events)"""
 
+# The log formats that are recognised, as in functions.logs.
 _RX_LOSS = r"^.*Training Loss ([0-9.]+), at iteration ([0-9]+)"
 _RX_MAX = r"^\s*max_iter:\s(\d+)\s*$"
 _RX_ITER = r"^.*\sIteration\s+(\d+)\s.*loss\s=\s([-+]?\d*.?\d+(?:e[-+]\d+)?)(?:\s.*)?$"

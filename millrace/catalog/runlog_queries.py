@@ -8,6 +8,8 @@ from millrace.catalog import inputs
 from millrace.catalog.registry import Registry
 from millrace.functions import logs as rx
 from millrace.operators import runlogs
+from millrace.session import materialize
+
 
 registry = Registry()
 add = registry.add
@@ -73,7 +75,6 @@ def _progress_sql(kind):
     limit = {
         "first": "first_value(nullif(max_iter, 0) IGNORE NULLS) OVER w",
         "last": "last_value(max_iter IGNORE NULLS) OVER w",
-        "default": f"coalesce(last_value(max_iter IGNORE NULLS) OVER w, {rx.DEFAULT_MAX_ITER})",
     }[kind]
     return f"""
 WITH {inputs.SQL_SOLVER},
@@ -98,9 +99,30 @@ def progress_last_max(spark, folder):
     return _rounded(runlogs.progress_last_max(parsed_solver(spark, folder)), "progress")
 
 
-@add("f7_progress_default_max", _progress_sql("default"))
+def default_logs(spark, folder):
+    """The log lines, some maxima at the start of their line and some iterations followed by a comma."""
+    line = (F.when(F.col("line_no") % 4 == 0, F.ltrim("line"))
+            .when(F.col("line_no") % 3 == 0, F.replace("line", F.lit(" (2.5 iter/s), loss"), F.lit(", loss"))).otherwise(F.col("line")))
+    # stored, so that the long expression behind a line stands once in the plan
+    return materialize(inputs.run_logs(spark, folder)).withColumn("line", line)
+
+
+@add("f7_progress_default_max", rf"""
+WITH {inputs.SQL_LOGS},
+raw AS (
+  SELECT run_id, line_no, CASE WHEN line_no % 4 = 0 THEN ltrim(line)
+    WHEN line_no % 3 = 0 THEN replace(line, ' (2.5 iter/s), loss', ', loss') ELSE line END AS line FROM logs),
+fields AS (
+  SELECT run_id, line_no, CASE WHEN regexp_matches(line, '^max_iter: [0-9]+$') THEN CAST(split_part(line, ' ', 2) AS BIGINT) END AS max_iter,
+    CASE WHEN regexp_matches(line, 'Iteration [0-9]+.*loss = [0-9.]+') THEN CAST(regexp_extract(line, '(?:^|\s)Iteration\s+([0-9]+)', 1) AS BIGINT) END AS iter,
+    TRY_CAST(regexp_extract(line, '(?:^|\s)loss\s+\S+\s+(\S+)', 1) AS DOUBLE) AS loss FROM raw),
+limited AS (
+  SELECT *, coalesce(last_value(max_iter IGNORE NULLS) OVER w, {rx.DEFAULT_MAX_ITER}) AS limit_iter
+  FROM fields WINDOW w AS (PARTITION BY run_id ORDER BY line_no ROWS UNBOUNDED PRECEDING))
+SELECT run_id, line_no, iter, limit_iter, round(CAST(iter AS DOUBLE) / limit_iter * 100, 6) AS progress, loss
+FROM limited WHERE iter IS NOT NULL AND limit_iter <> 0""")
 def progress_default_max(spark, folder):
-    return _rounded(runlogs.progress_default_max(parsed_solver(spark, folder)), "progress")
+    return _rounded(runlogs.progress_default_max(default_logs(spark, folder)), "progress")
 
 
 _SESSIONS = f"""

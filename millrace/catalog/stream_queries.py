@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from millrace.catalog import inputs
 from millrace.catalog.registry import Registry
-from millrace.catalog.runlog_queries import _STATUS, parsed_solver
+from millrace.catalog.runlog_queries import _STATUS
 from millrace.catalog.temporal_queries import HOUR, _SENSOR, sensor
+from millrace.functions import logs as rx
 from millrace.functions import text
 from millrace.operators import hooks
 from millrace.session import scratch_path
@@ -47,14 +48,13 @@ def stream_log_status(spark, folder):
 @add("b5_write_status_snapshot", f"""
 {_STATUS} SELECT run_id, max(line_no) AS last_line, arg_max(progress, line_no) AS progress FROM status GROUP BY run_id""")
 def write_status_snapshot(spark, folder):
-    """Two snapshots in turn, the second merged into the first."""
+    """Two snapshots in turn, the second merged into the first; versions hold the runs that changed."""
     path = scratch_path(spark, "snapshot")
     parsed = inputs_parsed(spark, folder).filter("progress IS NOT NULL")
     middle = parsed.agg((F.max("line_no") / 2).cast("long")).first()[0]
     status.write_status_snapshot(status.summarize(parsed.filter(F.col("line_no") <= middle)), path, 0)
     status.write_status_snapshot(status.summarize(parsed.filter(F.col("line_no") > middle)), path, 1)
-    return spark.read.schema(f"{status.SUMMARY}, batch long").parquet(path).filter("batch = 1").select(
-        "run_id", "last_line", "progress")
+    return status.current_status(spark, path).select("run_id", "last_line", "progress")
 
 
 def inputs_parsed(spark, folder):
@@ -105,9 +105,14 @@ UNION ALL
 SELECT run_id, max(at_us), CAST(100.0 AS DOUBLE), arg_max(last_loss, line_no) FILTER (last_loss IS NOT NULL), 'end'
 FROM known GROUP BY run_id""")
 def stream_heartbeat(spark, folder):
-    """Replay of the heartbeats the recorded logs would have had at one per six idle hours."""
-    beats = status.replay_heartbeats(parsed_solver(spark, folder), 6 * HOUR)
-    return beats.withColumn("progress", F.round("progress", 6))
+    """The heartbeats the recorded logs would have had at one per six idle hours, told by a stream of their chunks."""
+    def tell(path):
+        lines = sources.log_stream(spark, f"{path}/logs")
+        parsed = lines.select("run_id", "line_no", "at_us", *[c.alias(n) for n, c in rx.solver_fields(F.col("line")).items()])
+        status.stream_replay_heartbeats(parsed, path, 6 * HOUR).awaitTermination()
+
+    path = _feed(spark, folder, "heartbeat", tell)
+    return status.printed_heartbeats(spark, path).withColumn("progress", F.round("progress", 6))
 
 
 # -- messages ----------------------------------------------------------------------------------

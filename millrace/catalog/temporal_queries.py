@@ -186,9 +186,9 @@ sections AS (
 pairs AS (
   SELECT id, section_id, asin(sqrt(sin(radians(s.lat - p.lat) / 2) * sin(radians(s.lat - p.lat) / 2)
     + cos(radians(p.lat)) * cos(radians(s.lat)) * sin(radians(s.lon - p.lon) / 2) * sin(radians(s.lon - p.lon) / 2))) * 12742000.0::DOUBLE AS d
-  FROM points p JOIN sections s ON abs(floor(p.lat / 0.001::DOUBLE) - floor(s.lat / 0.001::DOUBLE)) <= 1
-    AND abs(floor(p.lon / 0.001::DOUBLE) - floor(s.lon / 0.001::DOUBLE)) <= 1),
-best AS (SELECT id, min((d, section_id)) AS b FROM pairs GROUP BY id)
+  FROM points p JOIN sections s ON floor(p.lat / 0.001::DOUBLE) - floor(s.lat / 0.001::DOUBLE) BETWEEN -1 AND 1
+    AND floor(p.lon / 0.002::DOUBLE) - floor(s.lon / 0.002::DOUBLE) BETWEEN -1 AND 1),
+best AS (SELECT id, min((d, section_id)) AS b FROM pairs WHERE d <= radians(0.001::DOUBLE) * 6371000.0::DOUBLE GROUP BY id)
 SELECT p.id, b[2] AS section_id, round(b[1], 3) AS distance_m FROM points p LEFT JOIN best USING (id)""")
 def match_way_section(spark, folder):
     k, p = F.col("o_orderkey"), F.col("p_partkey")

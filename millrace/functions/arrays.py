@@ -27,6 +27,10 @@ def doubles(values: Column) -> Column:
 
 # -- sparse lines ------------------------------------------------------------------
 
+# Fixed value: an entry is an index, a colon and a decimal number, infinity or NaN; signs are allowed.
+ENTRY = (r"^[-+]?[0-9]{1,9}:([-+]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?"
+         r"|[-+]?[iI][nN][fF]([iI][nN][iI][tT][yY])?|[nN][aA][nN])$")
+
 
 def sparse_entries(line: Column) -> Column:
     """``(idx, val)`` entries of an ``idx:val idx:val`` line in index order, the last value of an index kept.
@@ -34,11 +38,10 @@ def sparse_entries(line: Column) -> Column:
     Unreadable numbers give a null index or value.
     """
     def entry(item: Column, at: Column) -> Column:
-        colon = F.locate(":", item)
-        value = F.when(colon > 0, F.substr(item, colon + 1).try_cast("float"))
-        return F.struct(
-            F.substring_index(item, ":", 1).try_cast("int").alias("idx"), (-at).alias("back"), value.alias("val")
-        )
+        good = F.rlike(item, F.lit(ENTRY))
+        index = F.substring_index(item, ":", 1).try_cast("int")
+        value = F.substring_index(item, ":", -1).try_cast("float")
+        return F.struct(F.when(good, index).alias("idx"), (-at).alias("back"), F.when(good, value).alias("val"))
 
     parsed = F.transform(F.array_remove(F.split(line, " "), ""), entry)
     return let(
@@ -79,8 +82,8 @@ def dense(entries: Column, size: int) -> Column:
 def sparse_to_dense(line: Column, label_dim: int, data_dim: int, int_label: bool = True, strict: bool = True) -> Column:
     """``struct(label, data)`` of a sparse line: indexes below ``label_dim`` are the label.
 
-    Integer labels are truncated. A bad index or number raises an error; with
-    ``strict=False`` the whole struct is null instead.
+    Integer labels are truncated and must be finite. A bad index or number raises an
+    error; with ``strict=False`` the whole struct is null instead.
     """
     size = label_dim + data_dim
     element = "int" if int_label else "float"
@@ -94,7 +97,10 @@ def sparse_to_dense(line: Column, label_dim: int, data_dim: int, int_label: bool
             ),
         )
         bad = F.raise_error(F.concat(F.lit("invalid sparse line: "), line)) if strict else F.lit(None)
-        return F.when(sparse_valid(entries, size), both).otherwise(bad)
+        good = sparse_valid(entries, size)
+        if int_label:
+            good = good & F.forall(entries, lambda e: (e["idx"] >= label_dim) | (F.abs(e["val"]) < F.lit(float("inf"))))
+        return F.when(good, both).otherwise(bad)
 
     return let(sparse_entries(line), build)
 

@@ -17,6 +17,11 @@ STEP_LOSS = r"^.*step\s\d+,\sloss\s=\s(.*?)\s.*$"
 COMMAND = r"^.*Execute\sCommand:\s(.*?)$"
 CHECKPOINT = r"^(?:.*/)?(.*_)([0-9]+)\.solverstate(.*)$"
 DEFAULT_MAX_ITER = 100_000_000
+# the rules of the logger that starts from a default maximum: raw lines, fields at white space
+DEFAULT_MAX = r"^max_iter: ([0-9]+)$"
+DEFAULT_LINE = r"Iteration [0-9]+.*loss = [0-9.]+"
+DEFAULT_ITER = r"^(?:.*\s)?Iteration\s+([0-9]+)"
+DEFAULT_LOSS = r"^(?:.*\s)?loss\s+\S+\s+(\S+)"
 EPOCH_STEP = 490
 
 
@@ -72,6 +77,20 @@ def solver_fields(line: Column) -> dict[str, Column]:
     }
 
 
+def default_fields(line: Column) -> dict[str, Column]:
+    """``max_iter``, ``iter`` and ``loss`` by the rules of the logger with a default maximum.
+
+    ``max_iter:`` stands at the very start of the untrimmed line. The iteration is the number that
+    begins the field after ``Iteration``, the loss the second field after ``loss``.
+    """
+    hit = F.contains(line, F.lit("Iteration ")) & F.rlike(line, F.lit(DEFAULT_LINE))
+    return {
+        "max_iter": whole(line, DEFAULT_MAX, 1, "max_iter: "),
+        "iter": F.when(hit, whole(line, DEFAULT_ITER)),
+        "loss": F.when(hit, number(line, DEFAULT_LOSS)),
+    }
+
+
 def step_fields(line: Column, epoch_step: int = EPOCH_STEP) -> dict[str, Column]:
     """``minibatch_loss``, ``epoch_loss`` (only at ``epoch_step``) and ``command``."""
     return {

@@ -66,7 +66,7 @@ def filter_min_box_ratio(
 
 def remaining_files(files: DataFrame, removed: DataFrame, file: str = "file") -> DataFrame:
     """All files but the removed ones."""
-    return lookup_join(files, removed.select(file).distinct(), [file], "left_anti")
+    return lookup_join(files, materialize(removed.select(file).distinct()), [file], "left_anti")
 
 
 def cap_per_class_any(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Collection, Iterator, Mapping, Sequence
 
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
@@ -19,16 +20,17 @@ from millrace.session import materialize
 # Reserved ids and tokens.
 PAD_ID, GO_ID, EOS_ID = 0, 1, 2
 RESERVED = ("PAD", "GO", "EOS")
+# up to so many rows are chosen by collecting them from all tasks in order
+TOP_ROWS = 10_000
 BANK_UNKNOWN = "<unk>"
 DIALOG_UNKNOWN = "UNK"
 
 # Words the plain noise replaces or drops.
 PLAIN_REPLACEMENTS = {"there": "their", "their": "there"}
 PLAIN_DROPS = ("a", "an", "the")
-# The same for dialog text; a repeated key keeps its later value.
+# The same for dialog text.
 DIALOG_REPLACEMENTS = {
     "there": "they 're",
-    "they 're": "there",
     "their": "they 're",
     "they 're": "their",
     "then": "than",
@@ -69,8 +71,15 @@ def token_counts(df: DataFrame, column: str = "tokens") -> DataFrame:
 
 
 def vocab_topk(counts: DataFrame, k: int) -> DataFrame:
-    """The ``k`` most frequent tokens, ties in token order."""
-    return counts.orderBy(F.desc("cnt"), F.asc("token")).limit(k)
+    """The ``k`` most frequent tokens, ties in token order; a large ``k`` is cut off by numbers given in ranges."""
+    if k <= TOP_ROWS:
+        return counts.orderBy(F.desc("cnt"), F.asc("token")).limit(k)
+    return ranked_tokens(counts).filter(F.col("_n") <= k).drop("_n")
+
+
+def ranked_tokens(counts: DataFrame) -> DataFrame:
+    """Tokens with ``_n``, their place by falling count and token."""
+    return numbered(counts.withColumn("_fall", -F.col("cnt")), [], ["_fall", "token"], "_n").drop("_fall")
 
 
 def vocabulary(counts: DataFrame, specials: Sequence[str] = RESERVED, max_size: int | None = None) -> DataFrame:
@@ -85,12 +94,12 @@ def vocabulary(counts: DataFrame, specials: Sequence[str] = RESERVED, max_size:
     if max_size is not None:
         reserved = reserved.filter(F.col("id") < max_size)
     room = None if max_size is None else max(0, max_size - len(specials))
-    if room is not None and room <= 1_000_000:
+    if room is not None and room <= TOP_ROWS:
         ranked = vocab_topk(counts, room).withColumn(
             "_n", F.row_number().over(Window.orderBy(F.desc("cnt"), F.asc("token")))
         )
     else:
-        ranked = numbered(counts.withColumn("_fall", -F.col("cnt")), [], ["_fall", "token"], "_n")
+        ranked = ranked_tokens(counts)
         ranked = ranked if room is None else ranked.filter(F.col("_n") <= room)
     learned = ranked.select("token", "cnt", (F.col("_n") - 1 + len(specials)).cast("long").alias("id"))
     return reserved.unionByName(learned).withColumn("id", F.col("id").cast("int"))
@@ -115,12 +124,15 @@ def _map_lists(
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, found = table.value
+        index = pd.Index(known.to_pandas())  # its hash table is built once per task
         for batch in batches:
             arrays, fields = list(batch.columns), list(batch.schema.names)
             for source, out in columns.items():
                 lists = batch.column(fields.index(source))
                 lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
-                items = found.take(pc.index_in(lists.flatten(), value_set=known))
+                coded = lists.flatten().dictionary_encode()
+                place = index.get_indexer(coded.dictionary.to_pandas())  # each distinct token of the batch once
+                items = found.take(pa.array(place, pa.int64(), mask=place < 0)).take(coded.indices)
                 if default is not None:
                     items = items.fill_null(default)
                 sizes = pc.fill_null(pc.list_value_length(lists), 0)

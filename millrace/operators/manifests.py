@@ -17,6 +17,7 @@ FOLDER_IMAGES = (".jpg", ".png")
 ARCHIVE_IMAGES = (".jpg", ".jpeg", ".tiff", ".bmp", ".png")
 NOT_CARRIED = ("log", "eval")
 NOT_CARRIED_PREFIX = "model."
+COPIES_PER_CHUNK = 100_000
 
 
 def image_manifest(files: DataFrame, path: str = "path") -> DataFrame:
@@ -136,12 +137,20 @@ def tag_latest(images: DataFrame, latest: DataFrame, group: str = "group", name_
 
 
 def changed_minus_deleted(changed: DataFrame, deleted: DataFrame, column: str = "names", separator: str = ";") -> DataFrame:
-    """Entries of ``;``-lists that are in the first side only; duplicates count one by one."""
+    """Entries of ``;``-lists that are in the first side only; duplicates count one by one.
 
-    def entries(df: DataFrame) -> DataFrame:
-        return df.select(F.explode(F.split(column, separator)).alias("name"))
+    Entries are counted per task before the shuffle. What is left of a name is written out in chunks
+    of at most COPIES_PER_CHUNK rows that are dealt to different tasks.
+    """
+
+    def entries(df: DataFrame, sign: int) -> DataFrame:
+        return df.select(F.explode(F.split(column, separator)).alias("name"), F.lit(sign).alias("_sign"))
 
-    return entries(changed).exceptAll(entries(deleted))
+    left = entries(changed, 1).unionByName(entries(deleted, -1)).groupBy("name").agg(F.sum("_sign").alias("_n")).filter("_n > 0")
+    chunks = left.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / COPIES_PER_CHUNK))))
+    copies = F.least(F.lit(COPIES_PER_CHUNK), F.col("_n") - F.col("_chunk") * COPIES_PER_CHUNK)
+    return chunks.repartition("name", "_chunk").select(
+        "name", F.explode(F.sequence(F.lit(1).cast("long"), copies)).alias("_copy")).drop("_copy")
 
 
 def limit_n(messages: DataFrame, n: int | None, order: Sequence[str]) -> DataFrame:

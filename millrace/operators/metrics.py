@@ -15,6 +15,8 @@ from millrace.session import materialize, spread
 
 # Fixed value: the smallest normal 32-bit float, the floor of a probability.
 FLOAT_MIN = 1.17549435e-38
+# trees up to this size are walked on the driver: nodes, and nodes of all their paths
+SMALL_TREE, SMALL_PATHS = 10_000, 500_000
 # sums that a task keeps before it hands them on
 HELD_VALUES = 4_000_000
 
@@ -117,12 +119,18 @@ def tree_groups(tree: DataFrame) -> DataFrame:
 def tree_paths(tree: DataFrame) -> DataFrame:
     """``(node, path)``: the node and its ancestors up to the root (parent below 0).
 
-    Paths double in length each round, so a tree of depth d takes about log2(d)
-    joins. A cycle is an error.
+    A parent that is no node ends a path. A cycle is an error. A tree of at most SMALL_TREE nodes
+    and short paths is walked at once; otherwise paths double in length each round, so a tree of
+    depth d takes about log2(d) joins.
     """
+    spark = tree.sparkSession
+    head = tree.select(F.col("node").cast("long"), F.col("parent").cast("long")).limit(SMALL_TREE + 1).collect()
+    small = _small_paths({r.node: r.parent for r in head}) if len({r.node for r in head}) == len(head) <= SMALL_TREE else None
+    if small is not None:
+        return spark.createDataFrame(small, "node long, path array<long>")
     paths = materialize(spread(tree).select("node", F.array("node").alias("path"), F.col("parent").alias("tip")))
-    open_nodes, rounds = paths.filter(F.col("tip") >= 0).count(), 0
-    limit = paths.count().bit_length() + 1
+    total, open_nodes = paths.agg(F.count(F.lit(1)), F.count_if(F.col("tip") >= 0)).first()
+    rounds, limit = 0, total.bit_length() + 1
     while open_nodes:
         rounds += 1
         if rounds > limit:
@@ -138,6 +146,23 @@ def tree_paths(tree: DataFrame) -> DataFrame:
     return paths.select("node", "path")
 
 
+def _small_paths(parents: dict[int, int]) -> list[tuple[int, list[int]]] | None:
+    """Paths of a small tree; None where they hold more than SMALL_PATHS nodes together."""
+    out, held = [], 0
+    for node in parents:
+        path, above = [node], parents[node]
+        while above is not None and above >= 0 and above in parents:
+            if len(path) > len(parents):
+                raise ValueError("the tree has a cycle")
+            path.append(above)
+            above = parents[above]
+        held += len(path)
+        if held > SMALL_PATHS:
+            return None
+        out.append((node, path))
+    return out
+
+
 def tree_path_closure(tree: DataFrame) -> DataFrame:
     """``(node, ancestor, distance)`` for the node itself and every ancestor."""
     return tree_paths(tree).select("node", F.posexplode("path").alias("distance", "ancestor"))

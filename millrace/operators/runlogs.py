@@ -16,6 +16,7 @@ from millrace.functions.logs import (
     LOSS_MARK,
     PROGRESS_MARK,
     checkpoint_fields,
+    default_fields,
     loss_iteration,
     percent,
     solver_fields,
@@ -80,14 +81,15 @@ def running_loss_status(
 
 def _progress(parsed: DataFrame, keys: Sequence[str], order: Sequence[str], kind: str, default: int | None) -> DataFrame:
     splits = find_splits(parsed, keys, order)
-    relevant = parsed.filter(F.col("max_iter").isNotNull() | F.col("loss").isNotNull())
+    shown = F.col("iter").isNotNull() & (F.lit(default is not None) | F.col("loss").isNotNull())
+    relevant = parsed.filter(F.col("max_iter").isNotNull() | shown)
     # a maximum of 0 counts as not yet seen
     seen = F.when(F.col("max_iter") != 0, F.col("max_iter")) if kind == "first" else F.col("max_iter")
     limited = running(relevant, keys, order, {"_limit": Run(kind, seen)}, splits=splits)
     limit = F.col("_limit") if default is None else F.coalesce("_limit", F.lit(default))
     return (
         limited.withColumn("limit_iter", limit)
-        .filter(F.col("loss").isNotNull() & F.col("iter").isNotNull() & (F.coalesce("limit_iter", F.lit(0)) != 0))
+        .filter(shown & (F.coalesce("limit_iter", F.lit(0)) != 0))
         .select(*keys, *order, "iter", "limit_iter", percent(F.col("iter"), F.col("limit_iter")).alias("progress"), "loss")
     )
 
@@ -103,9 +105,14 @@ def progress_last_max(parsed: DataFrame, keys: Sequence[str] = (RUN,), order: Se
 
 
 def progress_default_max(
-    parsed: DataFrame, keys: Sequence[str] = (RUN,), order: Sequence[str] = (LINE_NO,), default: int = DEFAULT_MAX_ITER
+    logs: DataFrame, keys: Sequence[str] = (RUN,), order: Sequence[str] = (LINE_NO,), default: int = DEFAULT_MAX_ITER
 ) -> DataFrame:
-    """Progress against the latest ``max_iter``, or ``default`` until one is seen."""
+    """Progress of raw log lines against the latest ``max_iter``, or ``default`` until one is seen.
+
+    This logger has line rules of its own (``functions.logs.default_fields``). A line with an
+    unreadable loss counts, its loss is null.
+    """
+    parsed = logs.select(*keys, *order, *[c.alias(n) for n, c in default_fields(F.col("line")).items()])
     return _progress(parsed, keys, order, "last", default)
 
 

@@ -6,6 +6,7 @@ names the columns that order the rows of a key; together they are unique in it.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -22,6 +23,7 @@ CROP_SHARE = 0.05
 START, END, UNPAVED = "bumpy_road_start", "bumpy_road_end", "unpaved_road"
 EARTH_RADIUS_M = 6_371_000.0
 PACK = 64
+CROWDED, MAX_LEVELS = 1024, 5
 
 
 # -- filters -----------------------------------------------------------------------
@@ -45,16 +47,16 @@ def filter_trips(
     if hazards is not None:
         rows = rows.filter(F.col("type").isin(*hazards))
     if blacklist is not None:
-        rows = lookup_join(rows, blacklist.select("trip_id").distinct(), ["trip_id"], "left_anti")
+        rows = lookup_join(rows, materialize(blacklist.select("trip_id").distinct()), ["trip_id"], "left_anti")
     if folders is not None:
-        rows = lookup_join(rows, folders.select("folder").distinct(), ["folder"], "left_semi")
+        rows = lookup_join(rows, materialize(folders.select("folder").distinct()), ["folder"], "left_semi")
     return rows
 
 
 def crop_trip_start(
-    rows: DataFrame, keys: Sequence[str] = ("trip_id",), order: Sequence[str] = ("ts",), share: float = CROP_SHARE
+    rows: DataFrame, order: Sequence[str], keys: Sequence[str] = ("trip_id",), share: float = CROP_SHARE
 ) -> DataFrame:
-    """Drop the first ``share`` of each trip's rows (rounded down)."""
+    """Drop the first ``share`` of each trip's rows (rounded down). ``order`` must be unique within a trip."""
     sizes = materialize(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size")))
     placed = numbered(rows, keys, order, "_n")
     kept = lookup_join(placed, sizes, keys).filter(F.col("_n") > F.floor(F.col("_size") * share))
@@ -179,22 +181,69 @@ def haversine(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     return F.asin(F.sqrt(a)) * (2 * EARTH_RADIUS_M)
 
 
-def match_way_section(points: DataFrame, sections: DataFrame, cell: float = 0.001, point_id: str = "id") -> DataFrame:
-    """Add ``section_id`` and ``distance_m`` of the nearest section in the point's grid cell or the eight around it.
+def _columns_of_band(row: Column, cell: float) -> Column:
+    """How many equal columns a band of latitude has, so that each is at least as wide as ``cell`` is high.
 
-    ``cell`` (degrees) should be about the length of a section. Sections are copied
-    to the cells around them, in packs of at most ``PACK``; a point meets a pack as
-    one row, and crowded cells are spread by :func:`lookup_join`.
-    Sections at the same place are compared once, under their lowest id.
+    The width is taken a cell beyond the band's edge nearer to a pole, where a degree of longitude
+    is shortest; a band that reaches a pole is one column.
     """
-    row, col = F.floor(F.col("lat") / cell), F.floor(F.col("lon") / cell)
-    near = F.array(*[F.lit(d) for d in (-1, 0, 1)])
-    places = sections.groupBy("lat", "lon").agg(F.min("section_id").alias("section_id"))
+    edge = F.greatest(F.abs(row * cell), F.abs((row + 1) * cell)) + cell
+    ratio = F.sin(F.radians(F.lit(cell / 2))) / F.cos(F.radians(F.least(edge, F.lit(90.0))))
+    width = F.degrees(2 * F.asin(F.least(ratio, F.lit(1.0))))
+    return F.when((edge < 90) & (ratio < 1), F.greatest(F.lit(1), F.floor(360 / width))).otherwise(1).cast("long")
+
+
+def _column(lon: Column, columns: Column) -> Column:
+    return F.pmod(F.floor(F.pmod(lon + 180, F.lit(360.0)) / 360 * columns), columns).cast("long")
+
+
+def match_way_section(
+    points: DataFrame, sections: DataFrame, cell: float = 0.001, point_id: str = "id", crowded: int = CROWDED
+) -> DataFrame:
+    """Add ``section_id`` and ``distance_m`` of the nearest section within ``cell`` degrees of arc, null without one.
+
+    Bands of latitude are cut into columns that are a cell wide at the band's own latitude and go
+    round at 180 degrees, so that all sections within reach lie in the nine cells around a point.
+    Where a cell holds more than ``crowded`` sections, points look for one within an eighth of the
+    reach first, and only those without go on to the next size. Sections at the same place are
+    compared once, under their lowest id. ``point_id`` is unique.
+    """
+    places = materialize(sections.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull()).groupBy("lat", "lon").agg(
+        F.min("section_id").alias("section_id")))
+    reaches = [cell]
+    while len(reaches) < MAX_LEVELS and _most_in_a_cell(places, reaches[-1]) > crowded:
+        reaches.append(reaches[-1] / 8)
+    left, found = points.select(point_id, "lat", "lon"), None
+    for reach in reversed(reaches):
+        near = _nearest_within(left, places, reach, point_id)
+        last = reach == cell
+        near = near if last else materialize(near)
+        done = near if last else near.filter(F.col("section_id").isNotNull())
+        found = done if found is None else found.unionByName(done)
+        if not last:
+            left = lookup_join(left, done.select(point_id), [point_id], "left_anti")
+    return found
+
+
+def _cells(df: DataFrame, reach: float) -> DataFrame:
+    row = F.floor(F.col("lat") / reach).cast("long")
+    return df.withColumn("_row", row).withColumn("_col", _column(F.col("lon"), _columns_of_band(F.col("_row"), reach)))
+
+
+def _most_in_a_cell(places: DataFrame, reach: float) -> int:
+    return _cells(places, reach).groupBy("_row", "_col").count().agg(F.max("count")).first()[0] or 0
+
+
+def _nearest_within(points: DataFrame, places: DataFrame, reach: float, point_id: str) -> DataFrame:
+    around = F.array(*[F.lit(d) for d in (-1, 0, 1)])
+    columns = _columns_of_band(F.col("_row"), reach)
     copies = (
-        places.select("section_id", F.col("lat").alias("_lat"), F.col("lon").alias("_lon"), row.alias("_r"), col.alias("_c"))
-        .withColumn("_dr", F.explode(near))
-        .withColumn("_dc", F.explode(near))
-        .select("section_id", "_lat", "_lon", (F.col("_r") + F.col("_dr")).alias("_row"), (F.col("_c") + F.col("_dc")).alias("_col"))
+        places.select("section_id", F.col("lat").alias("_lat"), F.col("lon").alias("_lon"))
+        .withColumn("_dr", F.explode(around))
+        .withColumn("_row", F.floor(F.col("_lat") / reach).cast("long") + F.col("_dr"))
+        # each copy has its column in the band it is copied to; a band of fewer than three columns has them once
+        .withColumn("_col", F.explode(F.array_distinct(F.transform(
+            around, lambda d: F.pmod(_column(F.col("_lon"), columns) + d, columns).cast("long")))))
     )
     packed = materialize(
         numbered(copies, ["_row", "_col"], ["section_id"], "_n")
@@ -202,16 +251,17 @@ def match_way_section(points: DataFrame, sections: DataFrame, cell: float = 0.00
         .agg(F.collect_list(F.struct("section_id", "_lat", "_lon")).alias("_sections"))
         .drop("_pack")
     )
-    placed = points.select(point_id, "lat", "lon", row.alias("_row"), col.alias("_col"))
     best = F.array_min(F.transform(
         "_sections",
         lambda s: F.struct(
             haversine(F.col("lat"), F.col("lon"), s["_lat"], s["_lon"]).alias("d"), s["section_id"].alias("section_id")
         ),
     ))
+    limit = math.radians(reach) * EARTH_RADIUS_M
     nearest = (
-        lookup_join(placed, packed, ["_row", "_col"], "left")
+        lookup_join(_cells(points, reach), packed, ["_row", "_col"], "left")
         .select(point_id, best.alias("_best"))
+        .withColumn("_best", F.when(F.col("_best.d") <= limit, F.col("_best")))
         .groupBy(point_id)
         .agg(F.min("_best").alias("_best"))
     )
@@ -222,10 +272,13 @@ def match_way_section(points: DataFrame, sections: DataFrame, cell: float = 0.00
 
 
 def rolling_features(
-    rows: DataFrame, features: Sequence[str], size: int, keys: Sequence[str] = ("trip_id",),
-    order: Sequence[str] = ("ts",), rows_per_task: int | None = None,
+    rows: DataFrame, features: Sequence[str], size: int, order: Sequence[str], keys: Sequence[str] = ("trip_id",),
+    rows_per_task: int | None = None,
 ) -> DataFrame:
-    """Add mean, standard deviation, minimum and maximum of the last ``size`` rows of each feature."""
+    """Add mean, standard deviation, minimum and maximum of the last ``size`` rows of each feature.
+
+    ``order`` must be unique within a trip: several devices may have one time.
+    """
     kinds = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
     columns = {
         f"{feature}_{name}": (lambda w, f=feature, agg=agg: agg(f).over(w))
@@ -303,7 +356,7 @@ def balance_negatives(rows: DataFrame, factor: float, label: str = "label", key:
 
 def split_by_day(rows: DataFrame, days: DataFrame, ts_day: Column) -> tuple[DataFrame, DataFrame]:
     """``(train, test)``: test rows fall on the listed days (a table with a ``day`` date column)."""
-    listed = days.select("day").distinct()
+    listed = materialize(days.select("day").distinct())
     dated = rows.withColumn("day", ts_day)
     return lookup_join(dated, listed, ["day"], "left_anti"), lookup_join(dated, listed, ["day"], "left_semi")
 

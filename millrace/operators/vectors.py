@@ -15,8 +15,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-# Fixed value: an entry is an index, a colon and a decimal number.
-ENTRY = r"^[0-9]{1,9}:[-+]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?$"
+from millrace.functions.arrays import ENTRY
+
 CELLS = 4_000_000
 
 
@@ -25,8 +25,8 @@ def parse_sparse_lines(
 ) -> DataFrame:
     """Replace ``line`` by ``label`` and ``data`` arrays; indexes below ``label_dim`` are the label.
 
-    The last value of a repeated index counts; integer labels are truncated. A bad
-    index or number raises an error; with ``strict=False`` both arrays are null.
+    The last value of a repeated index counts; integer labels are truncated and
+    must be finite. A bad index or number raises an error; with ``strict=False`` both arrays are null.
     """
     if label_dim <= 0 or data_dim <= 0:
         raise ValueError("label and data dimensions must be positive")
@@ -52,10 +52,13 @@ def parse_sparse_lines(
         bad[rows[~readable]] = True
         rows = rows[readable]
         pairs = pc.list_flatten(pc.split_pattern(entries.filter(good), ":"))
+        pairs = pc.replace_substring_regex(pairs, r"^\+", "")
         ends = np.arange(0, len(pairs), 2)
         at = pc.cast(pairs.take(pa.array(ends)), pa.int64()).to_numpy()
         values = pc.cast(pairs.take(pa.array(ends + 1)), pa.float64()).to_numpy()
-        inside = at < size
+        inside = (at >= 0) & (at < size)
+        if int_label:
+            inside &= (at >= label_dim) | np.isfinite(values)
         bad[rows[~inside]] = True
         if strict and (bad & ~np.asarray(lines.is_null())).any():
             first = int(np.flatnonzero(bad & ~np.asarray(lines.is_null()))[0])

@@ -4,25 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-BROADCAST_BYTES = 64 << 20
-SALTS = 32
 
+from millrace.plans.widths import row_width
 
-def _width(field: T.StructField) -> Column:
-    kind, col = field.dataType, F.col(field.name)
-    if isinstance(kind, (T.StringType, T.BinaryType)):
-        return F.coalesce(F.octet_length(col), F.lit(0)) + 16
-    if isinstance(kind, T.ArrayType):
-        if isinstance(kind.elementType, (T.NumericType, T.BooleanType)):
-            return F.coalesce(F.size(col), F.lit(0)) * 8 + 24
-        return F.coalesce(F.octet_length(F.to_json(col)), F.lit(0)) * 2 + 24
-    if isinstance(kind, (T.MapType, T.StructType)):
-        return F.coalesce(F.octet_length(F.to_json(col)), F.lit(0)) * 2 + 24
-    return F.lit(8)
+BROADCAST_BYTES = 64 << 20
+ROWS_PER_TASK = 4_000_000
+BYTES_PER_TASK = 1 << 30
+MAX_HOT_KEYS = 32_768
 
 
 def broadcastable(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -30,10 +20,7 @@ def broadcastable(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
 
     Give it a stored table or a checkpointed result: the measurement reads it once.
     """
-    width = F.lit(16)
-    for field in df.schema.fields:
-        width = width + _width(field)
-    size = df.agg(F.sum(width.cast("long"))).first()[0] or 0
+    size = df.agg(F.sum(row_width(df))).first()[0] or 0
     return size <= max_bytes
 
 
@@ -44,25 +31,47 @@ def lookup_join(
     how: str = "inner",
     *,
     max_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
+    rows_per_task: int = ROWS_PER_TASK,
+    bytes_per_task: int = BYTES_PER_TASK,
 ) -> DataFrame:
-    """Join on ``keys``: broadcast the lookup if it is measured small, else salt.
+    """Join on ``keys``: broadcast the lookup if it is measured small, else shuffle and cut hot keys.
 
-    In the salted form the large side is spread over ``salts`` copies of every
-    lookup row, so that a hot key never meets in one task. ``how`` may be inner,
-    left, left_semi or left_anti; the result is the same either way.
+    A key of the large side with more rows or bytes than a task should hold is hot. Its rows are
+    dealt to as many parts as their size asks for, and only its lookup rows are copied, one per
+    part. All other keys take a plain shuffle join, and rows without a key take none. ``how`` may
+    be inner, left, left_semi or left_anti; the result is the same either way.
     """
     keys = list(keys)
     if broadcastable(lookup, max_bytes):
         return large.join(F.broadcast(lookup), keys, how)
-    # the partition id separates rows that are copies of each other
-    names = [F.col(c) for c in _hashable(large)]
-    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *names), F.lit(salts)).cast("int")
-    left = large.withColumn("_salt", salt)
-    right = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [*keys, "_salt"], how).drop("_salt")
+    hot = _hot_keys(large, keys, rows_per_task, bytes_per_task)
+    some = F.lit(True)
+    for key in keys:
+        some = some & F.col(f"`{key}`").isNotNull()
+    # a broadcast of at most MAX_HOT_KEYS rows
+    plain = large.filter(some) if hot is None else large.filter(some).join(F.broadcast(hot.select(*keys)), keys, "left_anti")
+    out = plain.join(lookup, keys, how)
+    if hot is not None:
+        # by content, so that a repeated task deals the same; the partition id separates rows that are copies of each other
+        content = [F.col(f"`{f.name}`") for f in large.schema.fields if "map<" not in f.dataType.simpleString()]
+        deal = F.pmod(F.xxhash64(F.spark_partition_id(), *content), F.col("_parts")).cast("int")
+        left = large.filter(some).join(F.broadcast(hot), keys).withColumn("_part", deal).drop("_parts")
+        right = lookup.join(F.broadcast(hot), keys).withColumn(
+            "_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
+        out = out.unionByName(left.join(right, [*keys, "_part"], how).drop("_part"))
+    if how in ("left", "left_anti"):
+        # a null key matches nothing, and all of them together would meet in one task
+        out = out.unionByName(large.filter(~some), allowMissingColumns=True)
+    return out
 
 
-def _hashable(df: DataFrame) -> list[str]:
-    """Columns xxhash64 accepts: it refuses maps."""
-    return [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+def _hot_keys(df: DataFrame, keys: list[str], rows_per_task: int, bytes_per_task: int) -> DataFrame | None:
+    """``keys, _parts`` of the keys too large for a task as a local table of at most MAX_HOT_KEYS rows; None without any."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum(row_width(df)).alias("_b")).dropna(subset=keys)
+    share = F.greatest(F.col("_n") / F.lit(rows_per_task), F.col("_b") / F.lit(bytes_per_task))
+    rows = counts.filter(share > 1).select(*keys, F.ceil(share).cast("int").alias("_parts")).orderBy(
+        F.desc("_parts")).limit(MAX_HOT_KEYS).collect()
+    if not rows:
+        return None
+    schema = counts.select(*keys, F.lit(1).alias("_parts")).schema
+    return df.sparkSession.createDataFrame(rows, schema)

@@ -16,7 +16,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from millrace.plans.widths import row_width
+
 ROWS_PER_TASK = 4_000_000
+BYTES_PER_TASK = 1 << 30
 MAX_RANGES = 32_768
 _SAMPLES_PER_RANGE = 64
 _PART = "_part"
@@ -66,15 +69,16 @@ def find_splits(
     order: Sequence[str],
     rows_per_task: int | None = None,
 ) -> Splits:
-    """Find the hot keys and cut each into ranges of about ``rows_per_task`` rows.
+    """Find the hot keys and cut each into ranges of about ``rows_per_task`` rows, fewer where rows are wide.
 
     ``order`` has to be unique within a key. The cut points come from a sample
     chosen by hash; they decide only where rows are computed, never the result.
     """
     keys = list(keys)
-    counts = df.groupBy(*[F.col(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
-    total, largest = counts.agg(F.sum("_n"), F.max("_n")).first()
-    limit = max(rows_per_task or ROWS_PER_TASK, (total or 0) // MAX_RANGES)
+    counts = df.groupBy(*[F.col(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"), F.sum(row_width(df)).alias("_b"))
+    total, largest, size = counts.agg(F.sum("_n"), F.max("_n"), F.sum("_b")).first()
+    by_size = BYTES_PER_TASK * (total or 0) // max(1, size or 0)
+    limit = max(min(rows_per_task or ROWS_PER_TASK, by_size), (total or 0) // MAX_RANGES, 1)
     if not total or largest <= limit:
         return Splits(None)
 

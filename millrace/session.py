@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,6 +67,44 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove what :func:`materialize` writes inside the block at its end, for jobs that run again and again.
+
+    Nothing made inside may be read afterwards.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            remove_folder(spark, path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    system, place = _file_system(spark, path)
+    return system.exists(place)
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if it is missing."""
+    system, place = _file_system(spark, path)
+    return [s.getPath().getName() for s in system.listStatus(place) if s.isDirectory()] if system.exists(place) else []
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    system, place = _file_system(spark, path)
+    system.delete(place, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Compute once into a table in the shared folder, so that the result outlives its executors.
 
@@ -72,5 +112,7 @@ def materialize(df: DataFrame) -> DataFrame:
     read back with column pruning and pushed filters.
     """
     path = scratch_path(df.sparkSession, "stage")
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

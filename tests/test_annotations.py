@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -120,3 +121,32 @@ def test_way_sections(spark):
     sections = spark.createDataFrame([(9, 45.0004, 7.0), (8, 45.0002, 7.0), (7, 45.0002, 7.0)], "section_id long, lat double, lon double")
     got = {r["id"]: r["section_id"] for r in temporal.match_way_section(points, sections).collect()}
     assert got == {1: 7, 2: None}
+
+
+@pytest.mark.parametrize("latitude", [0.0, 45.0, -65.0, 80.0, 89.9995])
+def test_way_sections_at_any_latitude(spark, latitude):
+    """Nearest within reach, by brute force, also across 180 degrees and in crowded cells."""
+    draw, reach = random.Random(int(latitude)), 0.001
+    wide = min(20.0, 0.003 / max(1e-9, math.cos(math.radians(min(89.9999, abs(latitude))))))
+
+    def place():
+        lon = 180 + draw.uniform(-wide, wide)
+        return max(-90.0, min(90.0, latitude + draw.uniform(-0.003, 0.003))), lon - 360 if lon > 180 else lon
+
+    sections = [(i, *place()) for i in range(60)] + [(100 + i, latitude, 179.9999 + i * 1e-7) for i in range(40)]
+    points = [(i, *place()) for i in range(120)]
+
+    def distance(a, b):
+        dlat, dlon = math.radians(b[0] - a[0]) / 2, math.radians(b[1] - a[1]) / 2
+        h = math.sin(dlat) ** 2 + math.cos(math.radians(a[0])) * math.cos(math.radians(b[0])) * math.sin(dlon) ** 2
+        return 2 * temporal.EARTH_RADIUS_M * math.asin(math.sqrt(h))
+
+    want = {}
+    for i, *p in points:
+        d, s = min((distance(p, q), s) for s, *q in sections)
+        want[i] = s if d <= math.radians(reach) * temporal.EARTH_RADIUS_M else None
+    left = spark.createDataFrame(points, "id long, lat double, lon double")
+    right = spark.createDataFrame(sections, "section_id long, lat double, lon double")
+    for crowded in (1024, 8):
+        got = {r["id"]: r["section_id"] for r in temporal.match_way_section(left, right, reach, crowded=crowded).collect()}
+        assert got == want

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions import arrays, text
-from millrace.operators import metrics
+from millrace.operators import metrics, pixels
 from millrace.operators.pixels import hsv, pixel_jitter
 from millrace.operators.vectors import parse_sparse_lines
 
@@ -139,3 +139,65 @@ def test_paths(spark):
     assert one(spark, text.path_group(F.lit("/hdfs/vc/x/y"), "/hdfs/")) == "vc"
     assert one(spark, text.kv_args(F.lit("a=1 b=x=y a=2"))) == {"a": "2", "b": "x=y"}
     assert one(spark, text.substitute(F.lit("$A$$A$"), {"A": "x"}, first_only=True)) == "x$A$"
+
+
+ODD = ["2:NaN", "2:nan", "+2:1", "-0:1", "-1:1", "2:1.5f", "2:1.5d", "2:0x1p3", "2:inf", "2:-Infinity", "2:+1.5", "2:.5", "2:5.", "2:1e3",
+       "2: 1", " 2:1", "2:1 ", "2:", ":1", "2", "2:1:1", "9:1", "0:NaN", "0:inf", "0:1.9", "4:1", "12345678901:1", ""]
+
+
+@pytest.mark.parametrize("int_label", [True, False])
+def test_parsers_agree_on_odd_entries(spark, int_label):
+    rows = spark.createDataFrame(list(enumerate(ODD)), "n int, line string")
+    a = {r["n"]: r["p"] for r in rows.select("n", arrays.sparse_to_dense(F.col("line"), 1, 3, int_label, strict=False).alias("p")).collect()}
+    b = {r["n"]: r for r in parse_sparse_lines(rows, "line", 1, 3, int_label=int_label, strict=False).collect()}
+    for n, line in enumerate(ODD):
+        expression = None if a[n] is None else repr((a[n]["label"], a[n]["data"]))
+        batch = None if b[n]["label"] is None else repr((b[n]["label"], b[n]["data"]))
+        assert expression == batch, line
+    good = {line for n, line in enumerate(ODD) if a[n] is not None}
+    assert good >= {"2:NaN", "+2:1", "2:+1.5", "2:inf", "0:1.9", ""} and not good & {"2:1.5f", "-1:1", "2:0x1p3", "4:1", "2:1:1", "2"}
+    assert ("0:NaN" in good) != int_label
+
+
+def test_unequal_lengths_are_errors(spark):
+    df = spark.createDataFrame([([1.0, 2.0], [1.0])], "a array<double>, b array<double>")
+    for column in (arrays.elementwise("SUM", F.col("a"), F.col("b")), arrays.squared_error(F.col("a"), F.col("b"))):
+        with pytest.raises(Exception, match="unequal length"):
+            df.select(column).collect()
+    nulls = df.select(arrays.elementwise("MAX", F.col("a"), F.lit(None).cast("array<double>")).alias("x"))
+    assert nulls.first()["x"] is None
+
+
+@pytest.mark.parametrize("size", [2, None])
+def test_group_means_of_whole_vectors(spark, size, monkeypatch):
+    monkeypatch.setattr(metrics, "HELD_VALUES", 3)
+    rows = [("a", [1.0, 2.0]), ("a", [3.0, 5.0]), ("b", [7.0, 8.0]), (None, [1.0, 1.0]), ("c", None)]
+    df = spark.createDataFrame(rows, "g string, v array<double>").repartition(3)
+    got = {r["g"]: (r["n"], r["mean"]) for r in metrics.group_mean_vector(df, "g", "v", size).collect()}
+    assert got == {"a": (2, [2.0, 3.5]), "b": (1, [7.0, 8.0]), None: (1, [1.0, 1.0])}
+
+
+@pytest.mark.parametrize("size", [2, 64, 300, None])
+@pytest.mark.parametrize("parts", [1, 2])
+def test_group_means_refuse_unequal_lengths(spark, size, parts):
+    df = spark.createDataFrame([("a", [1.0, 2.0, 3.0]), ("a", [5.0, 6.0])], "g string, v array<double>").repartition(parts)
+    with pytest.raises(Exception, match="unequal length"):
+        metrics.group_mean_vector(df, "g", "v", size).collect()
+
+
+def test_chars_can_be_strict(spark):
+    df = spark.createDataFrame([("abc",)], "t string")
+    assert df.select(arrays.encode_chars(F.col("t"), "abc", 2).alias("c")).first()["c"] == [0, 1]
+    with pytest.raises(Exception, match="too long"):
+        df.select(arrays.encode_chars(F.col("t"), "abc", 2, strict=True)).collect()
+
+
+def test_jitter_blends(spark):
+    stack = np.array([[[10.0, 20.0, 30.0], [200.0, 100.0, 0.0]]])
+    gray = stack @ np.array([0.299, 0.587, 0.114])
+    for own, mean, reference in ((1.0, 0.0, gray[..., None]), (0.0, 1.0, gray.mean()), (0.0, 0.0, 0.0)):
+        got = pixels.blended(stack, np.array([0.7]), np.array([own]), np.array([mean]))
+        assert np.allclose(got, 0.7 * stack + 0.3 * reference)
+    df = spark.createDataFrame([(1, [1.0] * 6), (2, None), (3, []), (4, [9.0, 8.0, 7.0])], "id long, p array<double>")
+    out = {r["id"]: r["p"] for r in pixel_jitter(df, "p", "id").collect()}
+    assert out[2] is None and out[3] == [] and len(out[1]) == 6 and len(out[4]) == 3

@@ -1,6 +1,7 @@
 """Split plans give what plain windows and joins give."""
 
 import random
+import sys
 
 import pytest
 from pyspark.sql import Window
@@ -71,9 +72,27 @@ def test_top_n(rows, n):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_lookup_join_salted_equals_broadcast(spark, rows, how):
-    names = spark.createDataFrame([("hot", 1), ("k1", 2), ("none", 3)], "k string, v int")
+@pytest.mark.parametrize("rows_per_task,bytes_per_task", [(10**9, 10**12), (300, 10**12), (10**9, 5000)])
+def test_lookup_join_cut_equals_broadcast(spark, rows, how, rows_per_task, bytes_per_task):
+    names = spark.createDataFrame([("hot", 1), ("hot", 4), ("k1", 2), ("none", 3), (None, 5)], "k string, v int")
     small = lookup_join(rows, names, ["k"], how)
-    salted = lookup_join(rows, names, ["k"], how, max_bytes=0)
-    assert small.columns == salted.columns
-    assert small.exceptAll(salted).count() == 0 and salted.exceptAll(small).count() == 0
+    cut = lookup_join(rows, names, ["k"], how, max_bytes=0, rows_per_task=rows_per_task, bytes_per_task=bytes_per_task)
+    assert small.columns == cut.columns
+    assert small.exceptAll(cut).count() == 0 and cut.exceptAll(small).count() == 0
+
+
+def test_lookup_join_copies_hot_lookups_only(spark, rows):
+    names = spark.createDataFrame([("hot", 1), ("k1", 2)], "k string, v int")
+
+    def plan(limit):
+        return lookup_join(rows, names, ["k"], max_bytes=0, rows_per_task=limit)._jdf.queryExecution().toString()
+
+    assert "explode" not in plan(10**9)
+    assert "explode" in plan(300)
+
+
+def test_wide_rows_are_cut_by_bytes(spark, monkeypatch):
+    wide = spark.range(400).selectExpr("'a' k", "id t", "repeat('x', 1000) w")
+    assert find_splits(wide, ["k"], ["t"]).bounds is None
+    monkeypatch.setattr(sys.modules["millrace.plans.running"], "BYTES_PER_TASK", 100_000)
+    assert find_splits(wide, ["k"], ["t"]).longest >= 2

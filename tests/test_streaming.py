@@ -1,9 +1,10 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators.runlogs import parse_losses, running_loss_status
-from millrace.session import scratch_path
+from millrace.session import list_folders, scratch_path
 from millrace.streaming import sources, stages, status
 
 
@@ -41,6 +42,39 @@ def test_merged_summaries_equal_the_batch(spark):
         assert got == newest(lines)
 
 
+def test_chunks_in_any_order(spark):
+    """Late chunks, chunks that overlap and repeated lines give the status of the whole log."""
+    lines = sample_lines(spark)
+    want = newest(lines)
+    for order in ([2, 0, 3, 1], [3, 2, 1, 0], [0, 1, 1, 3, 2]):
+        folder = scratch_path(spark, "test-order")
+        for chunk in order:
+            sources.publish(lines.filter(F.floor(F.col("line_no") / 100) == chunk), f"{folder}/logs")
+            status.stream_log_status(sources.log_stream(spark, f"{folder}/logs"), folder).awaitTermination()
+        got = {r["run_id"]: tuple(r[c] for c in ("progress", "last_loss", "tot_epochs", "max_loss", "min_loss", "n_epochs"))
+               for r in status.latest_status(spark, f"{folder}/status").collect()}
+        assert got == want
+
+
+def test_old_versions_go(spark, monkeypatch):
+    monkeypatch.setattr(status, "FULL_EVERY", 3)
+    folder, parsed = scratch_path(spark, "test-compact"), parse_losses(sample_lines(spark))
+    for n in range(8):
+        part = parsed.filter((F.col("line_no") >= n * 50) & (F.col("line_no") < n * 50 + 50))
+        status.write_status_snapshot(status.summarize(part), folder, n)
+    assert sorted(list_folders(spark, folder)) == ["batch=2", "batch=3", "batch=4", "batch=5", "batch=6", "batch=7"]
+    assert {r["run_id"]: r["progress"] for r in status.latest_status(spark, folder).collect()} == {
+        k: v[0] for k, v in newest(sample_lines(spark)).items()}
+
+
+def test_missing_status_is_told_from_a_broken_one(spark):
+    assert status.current_status(spark, scratch_path(spark, "none")) is None
+    folder = scratch_path(spark, "broken")
+    spark.range(3).selectExpr("cast(id as string) t").write.text(f"{folder}/batch=0")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        status.current_status(spark, folder).collect()
+
+
 def test_heartbeats(spark):
     rows = [(1, 0, 50.0, 0.5), (2, 90, 10.0, 0.1)]
     df = spark.createDataFrame(rows, "run_id long, last_at long, progress double, last_loss double")
@@ -78,8 +112,11 @@ def test_late_rows_are_dropped(spark):
 def test_heartbeat_stream(spark):
     folder = scratch_path(spark, "test-beat")
     status.write_status_snapshot(status.summarize(parse_losses(sample_lines(spark, 60))), f"{folder}/status", 0)
-    query = status.heartbeat_stream(spark, folder, every="1 second")
-    while not query.recentProgress or query.lastProgress["batchId"] < 1:
+    spark.createDataFrame([(2,)], "run_id long").write.parquet(f"{folder}/ended")
+    query = status.heartbeat_stream(spark, folder, every="1 second", ended=f"{folder}/ended")
+    while not query.recentProgress or query.lastProgress["batchId"] < 2:
         query.awaitTermination(0.5)
     query.stop()
-    assert spark.read.parquet(f"{folder}/heartbeats").select("run_id").distinct().count() == 3
+    sent = spark.read.parquet(f"{folder}/heartbeats").collect()
+    assert {r["run_id"] for r in sent if r["kind"] == "beat"} == {1, 3}
+    assert [(r["run_id"], r["progress"]) for r in sent if r["kind"] == "end"] == [(2, 100.0)]
