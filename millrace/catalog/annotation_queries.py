@@ -76,14 +76,14 @@ _ORDER_SQL = ", ".join(_ORDER)
 @add("e4_group_rois", f"""
 WITH {_BOXES}, placed AS (
   SELECT *, CAST((row_number() OVER (PARTITION BY file ORDER BY {_ORDER_SQL}) - 1) // 3 AS INTEGER) AS part FROM boxes)
-SELECT file, part, CAST(count(*) AS INTEGER) AS n,
+SELECT file, part, CAST(max(max(part)) OVER (PARTITION BY file) + 1 AS INTEGER) AS parts, CAST(count(*) AS INTEGER) AS n,
   string_agg(cls || ' ' || xmin || ' ' || ymin || ' ' || xmax || ' ' || ymax, ';' ORDER BY {_ORDER_SQL}) AS rois
 FROM placed GROUP BY file, part""")
 def group_rois(spark, folder):
     """Lists of at most three regions, so that files of the tables fill several parts."""
     lists = annotations.group_rois(boxes(spark, folder), order=_ORDER, max_rois=3)
     text = F.transform("rois", lambda r: F.concat_ws(" ", *[r[f].cast("string") for f in annotations.BOX]))
-    return lists.select("file", "part", F.size("rois").alias("n"), F.array_join(text, ";").alias("rois"))
+    return lists.select("file", "part", "parts", F.size("rois").alias("n"), F.array_join(text, ";").alias("rois"))
 
 
 @add("e4_ungroup_rois", f"WITH {_BOXES} SELECT file, cls, xmin, ymin, xmax, ymax FROM boxes")

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from millrace.catalog import inputs
 from millrace.catalog.registry import Registry
 from millrace.operators import corpus
+from millrace.session import scratch_path
+from millrace.sources import sinks
 
 registry = Registry()
 add = registry.add
@@ -242,3 +244,18 @@ def bucketize(spark, folder):
     pairs = corpus.encode_pairs(_noisy_pairs(spark, folder), dialog_vocabulary(spark, folder), corpus.DIALOG_UNKNOWN)
     return corpus.bucketize(pairs, BUCKETS).select(
         "doc_id", "line_no", "copy_id", "bucket_id", _ids("source").alias("source"), _ids("target").alias("target"))
+
+
+@add("j6_write_buckets", f"""
+{_ENCODED_PAIRS} SELECT * FROM (
+  SELECT doc_id, line_no, copy_id, CAST(CASE {_BUCKET_CASE} END AS INTEGER) AS bucket_id, source, target FROM coded)
+WHERE bucket_id IS NOT NULL""")
+def write_buckets(spark, folder):
+    """The corpus from tokens to bucket folders: copies, noise, ids, buckets, and the folders read back."""
+    path = scratch_path(spark, "buckets")
+    pairs = corpus.build_dataset(
+        inputs.corpus_tokens(spark, folder), dialog_vocabulary(spark, folder), key=["doc_id", "line_no"], copies=2, buckets=BUCKETS,
+        replacements=_PAIR_SWAPS, drops=_DROPS, drop_prob=0.1, seed=9)
+    sinks.write_buckets(pairs, path)
+    stored = spark.read.schema(pairs.schema).parquet(path)
+    return stored.select("doc_id", "line_no", "copy_id", "bucket_id", _ids("source").alias("source"), _ids("target").alias("target"))

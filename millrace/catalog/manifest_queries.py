@@ -12,7 +12,7 @@ from millrace.catalog import inputs
 from millrace.catalog.registry import Registry
 from millrace.functions import text
 from millrace.operators import manifests
-from millrace.session import scratch_path
+from millrace.session import materialize, scratch_path
 from millrace.sources import files as scans
 from millrace.sources import sinks
 
@@ -50,11 +50,25 @@ def manifest(spark, folder):
     return manifests.image_manifest(image_files(spark, folder))
 
 
-@add("a3_scan_image_folder", f"WITH {_IMAGES} SELECT page_id, path, label, root FROM manifest")
-def scan_image_folder(spark, folder):
+@add("a3_image_manifest", f"WITH {_IMAGES} SELECT page_id, path, label, root FROM manifest")
+def image_manifest(spark, folder):
     return manifest(spark, folder)
 
 
+@add("a3_scan_image_folder", """
+SELECT page_id, 'label=' || page_id % 7 AS label, 'set=' || page_id % 4 AS root FROM pages WHERE page_id % 5 <> 4""")
+def scan_image_folder(spark, folder):
+    """Files of page ids are written into label folders, some with another extension, then the folder is scanned."""
+    path = scratch_path(spark, "image-folder")
+    n = F.col("page_id")
+    rows = table(spark, folder, "pages").select(n, (n % 4).alias("set"), (n % 7).alias("label")).repartition(4, "set", "label")
+    for part, extension in ((rows.filter(n % 5 != 4), "jpg"), (rows.filter(n % 5 == 4), "txt")):
+        part.write.mode("append").partitionBy("set", "label").option("extension", extension).csv(path)
+    files = scans.image_folder(spark, path, content=True)
+    ids = F.explode(F.split(F.rtrim(F.decode("content", "UTF-8"), F.lit("\n")), "\n"))
+    return files.select(ids.cast("long").alias("page_id"), "label", F.substring_index("root", "/", -1).alias("root"))
+
+
 @add("e2_label_counts", f"WITH {_IMAGES} SELECT label, count(*) AS n FROM manifest GROUP BY label")
 def label_counts(spark, folder):
     return manifests.label_counts(manifest(spark, folder))
@@ -142,6 +156,18 @@ def scan_zip_members(spark, folder):
     return scans.zip_members(packed).select("archive", "member", "size", F.md5("content").alias("digest"))
 
 
+@add("a4_read_listed_members", """
+SELECT 'a' || doc_id || '.zip' AS archive, source || '/' || doc_id || '.txt' AS member, md5(text) AS digest FROM documents
+WHERE doc_id % 3 = 0""")
+def read_listed_members(spark, folder):
+    """Members are listed without unpacking, filtered, and only those wanted are read."""
+    packed = materialize(table(spark, folder, "documents").select("doc_id", "source", "text").mapInPandas(
+        _zipped, "path string, content binary"))
+    names = scans.zip_members(packed, read=False, extensions=(".txt",)).filter(
+        F.regexp_extract("member", "([0-9]+)[.]txt$", 1).cast("long") % 3 == 0)
+    return scans.listed_members(packed, names).select("archive", "member", F.md5("content").alias("digest"))
+
+
 _MEMBERS = """
 members AS (
   SELECT p_partkey, CASE WHEN p_partkey % 17 = 0 THEN '.' ELSE '' END || p_brand || '/' || p_partkey
@@ -174,20 +200,33 @@ def archive_members(spark, folder):
     return table(spark, folder, "part").select("p_partkey", name.alias("member"), (F.col("p_partkey") % 7 * 100).alias("size"))
 
 
-def class_map(spark, folder):
+def class_lines(spark, folder):
     n = F.col("p_partkey") % 20
     entry = F.concat(F.lit("a.zip@/"), "p_brand", F.lit("/"), s("p_partkey"),
                      _pick(F.col("p_size") % 5, (".jpg", ".PNG", ".bmp", ".bmp", ".bmp")), F.lit("\t\t"), s("p_size"))
     line = (F.when(n == 0, "  ").when(n == 1, "noat.jpg\t5").when(n == 2, "a.zip@/only").when(n == 3, "a.zip@/x/3.jpg\tbad")
             .otherwise(entry))
-    return manifests.class_map(table(spark, folder, "part").select("p_partkey", line.alias("line")))
+    return table(spark, folder, "part").select("p_partkey", line.alias("line"))
 
 
-@add("a5_scan_class_map", f"WITH {_CLASS_LINES} SELECT p_partkey, member, class_idx, error FROM class_map")
-def scan_class_map(spark, folder):
+def class_map(spark, folder):
+    return manifests.class_map(class_lines(spark, folder))
+
+
+@add("a5_class_map", f"WITH {_CLASS_LINES} SELECT p_partkey, member, class_idx, error FROM class_map")
+def parsed_class_map(spark, folder):
     return class_map(spark, folder).select("p_partkey", "member", "class_idx", "error")
 
 
+@add("a5_scan_class_map", f"""
+WITH {_CLASS_LINES} SELECT line, c.member, c.class_idx, c.error FROM class_map c JOIN map_lines USING (p_partkey)""")
+def scan_class_map(spark, folder):
+    """The map's lines are written as text, then scanned."""
+    path = scratch_path(spark, "class-map")
+    class_lines(spark, folder).select("line").write.text(path)
+    return scans.class_map_file(spark, path).select("line", "member", "class_idx", "error")
+
+
 @add("c1_filter_archive_members", f"WITH {_MEMBERS} SELECT p_partkey, member, size FROM good")
 def filter_archive_members(spark, folder):
     return manifests.filter_archive_members(archive_members(spark, folder))
@@ -211,10 +250,24 @@ def check_unique_label(spark, folder):
     return manifests.check_unique_label(mapping)
 
 
-@add("a6_scan_image_list", "SELECT 'set.zip@/' || p_brand || '/' || p_partkey || '.jpg' AS path FROM part")
+_LISTED = "SELECT 'set.zip@/' || p_brand || '/' || p_partkey || '.jpg' AS path FROM part"
+
+
+def listed_names(spark, folder):
+    return table(spark, folder, "part").select(F.concat("p_brand", F.lit("/"), s("p_partkey"), F.lit(".jpg")).alias("line"))
+
+
+@add("a6_image_list", _LISTED)
+def image_list(spark, folder):
+    return scans.image_list(listed_names(spark, folder), "set.zip")
+
+
+@add("a6_scan_image_list", _LISTED)
 def scan_image_list(spark, folder):
-    lines = table(spark, folder, "part").select(F.concat("p_brand", F.lit("/"), s("p_partkey"), F.lit(".jpg")).alias("line"))
-    return scans.image_list(lines, "set.zip")
+    """The list is written as text, then scanned."""
+    path = scratch_path(spark, "image-list")
+    listed_names(spark, folder).write.text(path)
+    return scans.image_list_file(spark, path, "set.zip")
 
 
 @add("c4_filter_carry_over", """
@@ -228,16 +281,32 @@ def filter_carry_over(spark, folder):
     return manifests.filter_carry_over(table(spark, folder, "part").select("p_partkey", name.alias("name")))
 
 
-@add("a7_scan_properties", """
+_PROPERTIES = """
 SELECT c_nationkey AS file, c_mktsegment AS key, arg_max(c_name || '=' || c_custkey, c_custkey) AS value
-FROM customer WHERE c_custkey % 10 <> 0 AND c_custkey % 10 <> 5 GROUP BY c_nationkey, c_mktsegment""")
-def scan_properties(spark, folder):
+FROM customer WHERE c_custkey % 10 <> 0 AND c_custkey % 10 <> 5 GROUP BY c_nationkey, c_mktsegment"""
+
+
+def property_lines(spark, folder):
     n = F.col("c_custkey") % 10
     line = (F.when(n == 0, F.concat(F.lit("#"), "c_mktsegment", F.lit("=no"))).when(n == 5, F.lit("no assignment"))
             .otherwise(F.concat(F.lit(" "), "c_mktsegment", F.lit(" = "), "c_name", F.lit("="), s("c_custkey"), F.lit(" "))))
-    lines = table(spark, folder, "customer").select(
+    return table(spark, folder, "customer").select(
         F.col("c_nationkey").alias("file"), F.col("c_custkey").alias("line_no"), line.alias("line"))
-    return manifests.properties(lines)
+
+
+@add("a7_properties", _PROPERTIES)
+def parsed_properties(spark, folder):
+    return manifests.properties(property_lines(spark, folder))
+
+
+@add("a7_scan_properties", _PROPERTIES)
+def scan_properties(spark, folder):
+    """A file per nation is written, its lines in order, then scanned."""
+    path = scratch_path(spark, "properties")
+    ordered = property_lines(spark, folder).repartition(4, "file").sortWithinPartitions("file", "line_no")
+    ordered.select("file", F.col("line").alias("value")).write.partitionBy("file").text(path)
+    found = scans.properties_files(spark, path)
+    return found.withColumn("file", F.regexp_extract("file", "file=([0-9]+)/", 1).cast("int"))
 
 
 # -- lookups -------------------------------------------------------------------------------------

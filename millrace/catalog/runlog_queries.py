@@ -165,7 +165,8 @@ epochs AS (
   FROM parsed p JOIN newest n ON n.run_id = p.run_id AND p.line_no < n.line_no WHERE p.loss IS NOT NULL),
 parts AS (
   SELECT run_id, part, count(*) AS n_fin, arg_max(iter, line_no) AS last_iter, arg_max(loss, line_no) AS last_fin FROM epochs GROUP BY ALL)
-SELECT n.run_id, CAST(coalesce(part, 0) AS INTEGER) AS part, last_loss AS last_err, progress AS last_progress, tot_epochs,
+SELECT n.run_id, CAST(coalesce(part, 0) AS INTEGER) AS part,
+  CAST(coalesce(max(part) OVER (PARTITION BY n.run_id), 0) + 1 AS INTEGER) AS parts, last_loss AS last_err, progress AS last_progress, tot_epochs,
   max_loss AS g_max_err, 'train' AS command_name, CAST(coalesce(n_fin, 0) AS INTEGER) AS n_fin, last_iter, last_fin
 FROM newest n LEFT JOIN parts USING (run_id)""")
 def status_json(spark, folder):
@@ -180,7 +181,7 @@ def status_json(spark, folder):
         return F.get_json_object("document", path).cast(kind)
 
     return documents.withColumn("epochs", epochs).select(
-        "run_id", "part", field("$.lastErr", "double").alias("last_err"), field("$.lastProgress", "double").alias("last_progress"),
+        "run_id", "part", "parts", field("$.lastErr", "double").alias("last_err"), field("$.lastProgress", "double").alias("last_progress"),
         field("$.totEpochs", "long").alias("tot_epochs"), field("$.gMaxErr", "double").alias("g_max_err"),
         field("$.commands[0].name", "string").alias("command_name"), F.size("epochs").alias("n_fin"),
         F.try_element_at("epochs", F.lit(-1))[0].cast("long").alias("last_iter"),

@@ -30,15 +30,17 @@ def group_rois(
     fields: Sequence[str] = BOX,
     max_rois: int = 10_000,
 ) -> DataFrame:
-    """Regions to lists: ``(file, part, rois)`` with at most ``max_rois`` regions in one row.
+    """Regions to lists: ``(file, part, parts, rois)`` with at most ``max_rois`` regions in one row.
 
-    A file of ordinary size is one row with part 0; no row grows without bound.
+    No row grows without bound: a file of up to ``max_rois`` regions is one row, ``part`` 0 of
+    ``parts`` 1; a larger one has all its regions in ``parts`` rows, in order.
     """
     placed = numbered(rois, [file], order, "_n")
     part = F.floor((F.col("_n") - 1) / max_rois).cast("int").alias("part")
     lists = placed.groupBy(file, part).agg(F.array_sort(F.collect_list(F.struct("_n", *fields))).alias("_rois"))
-    return lists.select(
-        file, "part", F.transform("_rois", lambda r: F.struct(*[r[f].alias(f) for f in fields])).alias("rois")
+    sizes = materialize(rois.groupBy(file).agg(F.ceil(F.count(F.lit(1)) / max_rois).cast("int").alias("parts")))
+    return lookup_join(lists, sizes, [file]).select(
+        file, "part", "parts", F.transform("_rois", lambda r: F.struct(*[r[f].alias(f) for f in fields])).alias("rois")
     )
 
 

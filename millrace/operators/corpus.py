@@ -323,7 +323,9 @@ def build_dataset(
     copies: int,
     buckets: Sequence[tuple[int, int]],
     unknown: str = DIALOG_UNKNOWN,
+    replacements: Mapping[str, str] = DIALOG_REPLACEMENTS,
     replace_prob: float = 0.25,
+    drops: Collection[str] = DIALOG_DROPS,
     drop_prob: float = 0.0,
     seed: object = 0,
 ) -> DataFrame:
@@ -332,6 +334,7 @@ def build_dataset(
     keys = [F.col(k) for k in (*key, "copy_id")]
     noisy = copied.withColumn(
         "source",
-        noise_bigrams(F.col("tokens"), keys, replace_prob=replace_prob, drop_prob=drop_prob, seed=seed),
+        noise_bigrams(F.col("tokens"), keys, replacements=replacements, replace_prob=replace_prob, drops=drops,
+                      drop_prob=drop_prob, seed=seed),
     ).withColumnRenamed("tokens", "target")
     return bucketize(encode_pairs(noisy, vocab, unknown), buckets)

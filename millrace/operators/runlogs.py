@@ -168,10 +168,10 @@ def status_documents(
     newest: DataFrame, epochs: DataFrame, *, log: str, command: str, max_epochs: int = 10_000,
     run: str = RUN, line_no: str = LINE_NO,
 ) -> DataFrame:
-    """``(run_id, part, document)``: the JSON status of each run with its epochs before that status.
+    """``(run_id, part, parts, document)``: the JSON status of each run with its epochs before that status.
 
-    A run of ordinary length is one document with part 0; a longer one repeats the
-    status with the next ``max_epochs`` epochs, so that no text grows without bound.
+    No text grows without bound: a run of up to ``max_epochs`` epochs is one document, ``part`` 0
+    of ``parts`` 1; a longer one has ``parts`` documents that repeat the status, each with the next epochs.
     """
     newest = materialize(newest)
     marks = newest.select(run, F.col(line_no).alias("_mark"))
@@ -181,13 +181,14 @@ def status_documents(
         F.array_sort(F.collect_list(F.struct("_n", "iter", "loss"))).alias("_epochs")))
     none = F.array().cast(lists.schema["_epochs"].dataType)
     bare = lookup_join(newest, materialize(lists.select(run).distinct()), [run], "left_anti")
-    joined = lookup_join(lists, newest, [run]).unionByName(
-        bare.select("*", F.lit(0).alias("part"), none.alias("_epochs")))
+    sizes = materialize(lists.groupBy(run).agg((F.max("part") + 1).cast("int").alias("parts")))
+    joined = lookup_join(lookup_join(lists, newest, [run]), sizes, [run]).unionByName(
+        bare.select("*", F.lit(0).alias("part"), F.lit(1).alias("parts"), none.alias("_epochs")))
     pairs = F.transform("_epochs", lambda e: F.array(e["iter"].cast("double"), e["loss"]))
     document = status_json(
         F.col("last_loss"), F.col("tot_epochs") - 1, F.col("progress"), F.col("min_loss"), F.col("max_loss"),
         F.lit(log), F.lit(command), pairs)
-    return joined.select(run, "part", document.alias("document"))
+    return joined.select(run, "part", "parts", document.alias("document"))
 
 
 # -- checkpoints --------------------------------------------------------------------

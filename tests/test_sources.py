@@ -29,6 +29,26 @@ def test_zip_members(spark, tmp_path):
     assert bytes(rows["x/1.jpg"]["content"]) == b"one" and rows["x/1.jpg"]["size"] == 3 and rows["x/"]["size"] == 0
     listed = files.zip_members(files.archives(spark, str(tmp_path)), read=False).collect()
     assert len(listed) == 2 and all(r["content"] is None for r in listed)
+    assert [r["member"] for r in files.zip_members(files.archives(spark, str(tmp_path)), extensions=(".JPG",)).collect()] == ["x/1.jpg"]
+    archive = files.archives(spark, str(tmp_path)).first()["path"]
+    wanted = spark.createDataFrame([(archive, "x/1.jpg"), (archive, "none"), ("other.zip", "x/1.jpg")], "archive string, member string")
+    read = files.listed_members(files.archives(spark, str(tmp_path)), wanted).collect()
+    assert [(r["member"], bytes(r["content"])) for r in read] == [("x/1.jpg", b"one")]
+
+
+def test_only_wanted_members_are_unpacked(spark):
+    """A member that is not wanted may be damaged: its bytes are never read."""
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w") as archive:
+        archive.writestr("good.jpg", b"one")
+        archive.writestr("bad.bin", b"damage me")
+    data = buffer.getvalue().replace(b"damage me", b"DAMAGE ME")
+    packed = spark.createDataFrame([("a.zip", data)], "path string, content binary")
+    assert files.zip_members(packed, extensions=(".jpg",)).count() == 1
+    wanted = spark.createDataFrame([("a.zip", "good.jpg")], "archive string, member string")
+    assert files.listed_members(packed, wanted).count() == 1
+    with pytest.raises(Exception, match="CRC"):
+        files.zip_members(packed).collect()
 
 
 def test_text_and_properties(spark, tmp_path):
