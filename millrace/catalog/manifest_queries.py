@@ -66,7 +66,8 @@ def scan_image_folder(spark, folder):
         part.write.mode("append").partitionBy("set", "label").option("extension", extension).csv(path)
     files = scans.image_folder(spark, path, content=True)
     ids = F.explode(F.split(F.rtrim(F.decode("content", "UTF-8"), F.lit("\n")), "\n"))
-    return files.select(ids.cast("long").alias("page_id"), "label", F.substring_index("root", "/", -1).alias("root"))
+    found = files.select(ids.alias("page_id"), "label", F.substring_index("root", "/", -1).alias("root"))
+    return found.withColumn("page_id", F.col("page_id").cast("long"))
 
 
 @add("e2_label_counts", f"WITH {_IMAGES} SELECT label, count(*) AS n FROM manifest GROUP BY label")
