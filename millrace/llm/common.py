@@ -10,9 +10,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 CHUNK_CHARS = 2_000_000
+BATCH_BYTES = 8 << 20
 
 
 def worker_cache(key: tuple, make: Callable[[], object]) -> object:
@@ -28,18 +30,26 @@ def worker_cache(key: tuple, make: Callable[[], object]) -> object:
 
 
 class WordTable(dict):
-    """Word to value, computed at first sight. Holds at most ``limit`` words; a full table starts anew."""
+    """Word to value, computed at first sight. Words seen once wait in a small table of their own, those seen
+    again are kept in this one; either is emptied when it is full, so the size is bounded."""
 
-    def __init__(self, make: Callable[[str], object], limit: int = 400_000, longest: int = 48) -> None:
+    def __init__(self, make: Callable[[str], object], limit: int = 250_000, longest: int = 48) -> None:
         super().__init__()
         self.make, self.limit, self.longest = make, limit, longest
+        self.new: dict[str, object] = {}
 
     def __missing__(self, word: str) -> object:
-        value = self.make(word)
-        if len(word) <= self.longest:
+        value = self.new.pop(word, None)
+        if value is not None:
             if len(self) >= self.limit:
                 self.clear()
             self[word] = value
+            return value
+        value = self.make(word)
+        if len(word) <= self.longest:
+            if len(self.new) >= self.limit // 3:
+                self.new.clear()
+            self.new[word] = value
         return value
 
 
@@ -47,6 +57,23 @@ def text_list(batch: pa.RecordBatch, column: str) -> list[str]:
     return ["" if t is None else t for t in batch.column(column).to_pylist()]
 
 
+def small_batches(batches: Iterator[pa.RecordBatch], column: str, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of about ``most`` bytes of text, so that what a task makes of a batch stays small.
+
+    A longer text is a batch of its own.
+    """
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        start, held = 0, 0
+        for i, size in enumerate(sizes.tolist()):
+            if held and held + size > most:
+                yield batch.slice(start, i - start)
+                start, held = i, 0
+            held += size
+        if start < batch.num_rows:
+            yield batch.slice(start)
+
+
 def chunks(texts: list[str], most: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:
     """Runs of texts of about ``most`` characters together; a longer text is a run of its own."""
     start, size = 0, 0
@@ -73,6 +100,8 @@ def has_odd(text: str) -> bool:
     Odd are numbers that are no decimal digits, separators 1C to 1F, capital sigma (its
     lower case depends on its place), and what this Unicode version has not assigned.
     """
+    if text.isascii():
+        return not text.isprintable() and any(c in text for c in "\x1c\x1d\x1e\x1f")
     if not PLAIN.search(text):
         return False
 

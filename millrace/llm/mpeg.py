@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import id_type, text_list
+from millrace.llm.common import id_type, small_batches, text_list
 from millrace.session import scratch_path
 
 # Fixed values of the format: kbit/s by bit-rate index, Hz by rate index.
@@ -186,11 +186,11 @@ def _tag(data: bytes, at: int, out: dict[str, str]) -> int:
 def scan_audio(data: bytes) -> Audio:
     """Frames, tags, variable-bit-rate table and checksums of MPEG audio bytes.
 
-    A frame is taken where a header stands and its end is another header of the same kind, a tag,
-    or the end of the data; other bytes are skipped up to the next such place. Cut frames at the
-    end are skipped too.
+    A first frame is taken where a header stands and its end is another header of the same kind, a
+    tag, or the end of the data; a next one where a header of the same kind follows at once. Other
+    bytes are skipped up to the next first frame, and so is a frame that the end cuts off.
     """
-    audio, at, cache, kind, parts = Audio(), 0, {}, None, []
+    audio, at, cache, kind, parts, expected = Audio(), 0, {}, None, [], -1
     n = len(data)
     while at < n:
         if data.startswith(b"ID3", at) and at + 10 <= n:
@@ -200,11 +200,13 @@ def scan_audio(data: bytes) -> Audio:
             audio.tags.setdefault("TIT2", data[at + 3 : at + 33].rstrip(b"\0 ").decode("latin-1"))
             break
         header = parse_header(data, at, cache)
-        end = at + header.size if header else 0
-        follows = header and end <= n and (
+        end = at + header.size if header else at
+        whole = header is not None and end <= n
+        in_step = whole and at == expected and header.like(kind)
+        if not in_step and not (whole and (
             end == n or data.startswith((b"ID3", b"TAG"), end)
-            or (after := parse_header(data, end, cache)) is not None and after.like(header))
-        if not follows or kind is not None and not header.like(kind) and end != n and not audio.skipped:
+            or (after := parse_header(data, end, cache)) is not None and after.like(header)
+        )):
             found = data.find(b"\xff", at + 1)
             found = n if found < 0 else found
             audio.skipped += found - at
@@ -232,7 +234,7 @@ def scan_audio(data: bytes) -> Audio:
             audio.samples += header.samples
             audio.hertz = audio.hertz or header.hertz
             parts.append(data[body + header.side : end])
-        kind, at = header, end
+        kind, at, expected = header, end, end
     audio.payload = b"".join(parts)
     if (size := audio.tags.get("payload bytes", "")).isdigit():
         audio.payload = audio.payload[: int(size)]
@@ -256,7 +258,7 @@ def store_audio(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col:
     """
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, "text"):
             rows = []
             for text in text_list(batch, "text"):
                 size, payload = padded_payload(text)

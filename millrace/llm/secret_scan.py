@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import id_type, text_list
+from millrace.llm.common import id_type, small_batches, text_list
 
 # The base patterns and the least sizes of their matches.
 ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -35,10 +35,11 @@ LEXEME = re.compile(rf"""(?ax)
   | (?P<name> {NAME} | "{NAME}"(?=\s{{0,8}}[:=]) | '{NAME}'(?=\s{{0,8}}[:=]) )
     [^\S\n]{{0,8}} (?: :\s*[A-Za-z_][\w\[\]]* [^\S\n]{{0,8}} (?==) )? (?P<sign> :=|=>|=(?!=)|:(?!:) ) [^\S\n]{{0,8}}
     (?P<value> (?: "(?:[^"\\\n]|\\.){{0,4096}}" | '(?:[^'\\\n]|\\.){{0,4096}}' | `[^`\n]{{0,4096}}`
-               | {NAME} (?=\s*(?:[;,)\n+]|$)) | [^\s"'`,;(){{}}\[\]]+ )
+               | {NAME} (?=\s*(?:[;,)\n+]|$)) | [^\s"'`,;(){{}}\[\]]++ (?![(\[]) )
       (?: [^\S\n]{{0,8}} \+ [^\S\n]{{0,8}} (?: "(?:[^"\\\n]|\\.){{0,4096}}" | '(?:[^'\\\n]|\\.){{0,4096}}' | {NAME} ) )* )
 """)
 OPERAND = re.compile(rf"""(?a)"((?:[^"\\]|\\.)*)"|'((?:[^'\\]|\\.)*)'|`([^`]*)`|({NAME})(?![^\s+])|([^\s+]+)""")
+PHRASE = re.compile(r"[A-Za-z]+(?:[._-][A-Za-z]+)+")
 PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 
 
@@ -58,10 +59,11 @@ def name_weight(name: str) -> float:
 
 
 def literal_strength(value: str) -> float:
-    """How much a literal looks random, 0 to 1: bits per character and size; harmless words and phrases are 0."""
+    """How much a literal looks random, 0 to 1: bits per character and size; harmless words, phrases and
+    words joined by dots, dashes or underscores are 0."""
     if len(value) < 8 or any(c.isspace() for c in value) or value.lower().strip("<>{}$%*._-") in HARMLESS:
         return 0.0
-    if len(set(value)) < 4 or value.startswith(("http://", "https://", "${", "{{", "<")):
+    if len(set(value)) < 4 or PHRASE.fullmatch(value) or value.startswith(("http://", "https://", "${", "{{", "<")):
         return 0.0
     counts = Counter(value)
     bits = -sum(c / len(value) * math.log2(c / len(value)) for c in counts.values())
@@ -130,7 +132,7 @@ def scan_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, "text"):
             rows = []
             for text in text_list(batch, "text"):
                 base, spans = scan(text)
@@ -166,7 +168,7 @@ def redact_documents(docs: DataFrame, *, text_col: str = "text", size_col: str |
     names = schema.names
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, text_col):
             old = batch.column(text_col).to_pylist()
             new = [None if t is None else redact(t, mark) for t in old]
             columns = dict(zip(names, batch.columns))

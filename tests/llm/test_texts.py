@@ -59,7 +59,7 @@ def test_scan_and_redaction(spark, documents, no_documents):
     rows = [(1, "x password=0123456789abcdef01 y", "en", "s", 31), (2, None, None, None, None), (3, "clean", "en", "s", 5)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     first = secret_scan.scan_documents(docs).orderBy("doc_id").collect()
-    assert (first[0].n_assign, first[0].n_hex, first[0].spans) == (1, 1, "assign:2:29,hex:11:29")
+    assert (first[0].n_assign, first[0].n_hex, first[0].spans) == (1, 1, "assign:2:29,hex:11:29,literal:11:29")
     assert first[1].base_sha256 == hashlib.sha256(b"").hexdigest() and first[1].spans == ""
     redacted = secret_scan.redact_documents(docs).orderBy("doc_id").collect()
     assert [(r.text, r.n_chars) for r in redacted] == [("x [secret] y", 12), (None, None), ("clean", 5)]
