@@ -113,10 +113,10 @@ def section_tokens(
         for batch in batches:
             texts = [batch.column(name).to_pylist() for name in names]
             rows, field_of, places, out = [], [], [], [[], [], [], []]
-            for i in range(batch.num_rows):
-                parts = [t[i] or "" for t in texts]
-                whole = SEPARATOR.join(parts)
-                starts, ends = character_spans(whole, sizes[np.frombuffer(encoder.encode(whole), "<u4")])
+            split = [[t[i] or "" for t in texts] for i in range(batch.num_rows)]
+            wholes = [SEPARATOR.join(parts) for parts in split]
+            for i, (parts, whole, ids) in enumerate(zip(split, wholes, encoder.encode_all(wholes))):
+                starts, ends = character_spans(whole, sizes[np.frombuffer(ids, "<u4")])
                 first, stop, base = [], [], 0
                 for k, part in enumerate(parts):
                     size = len(part) + (k < len(parts) - 1)  # with the line feed after it

@@ -125,8 +125,8 @@ def pack_documents(
             rows: list[tuple] = []
             rest: list[tuple] = []
             by_length: dict[int, list[int]] = defaultdict(list)
-            for name, text in zip(names, text_list(batch, "text")):
-                ids = encoder.encode(text) + end
+            for name, ids in zip(names, encoder.encode_all(text_list(batch, "text"))):
+                ids += end
                 total, cut = len(ids) >> 2, len(ids) // full * full
                 for at in range(0, cut, full):
                     rows.append((name, at >> 2, window, zlib.crc32(ids[at : at + full]), total, task, sequence, 0, True, None))

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import id_type, text_list
+from millrace.llm.common import id_type, small_batches, text_list
 from millrace.llm.tokens import text_encoder, vocabulary_path
 
 ROW_GROUP_BYTES = 32 << 20
@@ -47,8 +47,8 @@ def write_token_files(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, shard, before = text_encoder(vocabulary), TaskContext.get().partitionId(), 0
-        for batch in batches:
-            ids = [encoder.encode(t) + end for t in text_list(batch, "text")]
+        for batch in small_batches(batches, "text"):
+            ids = [i + end for i in encoder.encode_all(text_list(batch, "text"))]
             sizes = np.fromiter((len(i) >> 2 for i in ids), np.int64, len(ids))
             ends = np.cumsum(sizes)
             flat = np.frombuffer(b"".join(ids), "<i4")

@@ -9,8 +9,9 @@ are not in normal form C go through the library's own ``encode`` whole.
 from __future__ import annotations
 
 import re
-import struct
+import sys
 import unicodedata
+from array import array
 
 import numpy as np
 
@@ -46,16 +47,26 @@ class TextEncoder:
         table = {b: letters[b] for b in range(256)}
 
         def ids(word: str) -> bytes:
-            seen = model.tokenize(word.encode().decode("latin-1").translate(table))
-            return struct.pack(f"<{len(seen)}I", *[t.id for t in seen])
-
-        self.table = WordTable(ids)
+            body = word.removeprefix(" ")
+            if body.isascii() and body.isalpha():  # the common case: letters are written as themselves
+                written = body if body is word else letters[32] + body
+            else:
+                written = word.encode().decode("latin-1").translate(table)
+            found = array("I", [t.id for t in model.tokenize(written)])
+            if sys.byteorder == "big":
+                found.byteswap()
+            return found.tobytes()
+
+        self.table = WordTable(ids, 320_000)
 
     def encode(self, text: str) -> bytes:
         if any(map(text.__contains__, self.special)) or has_odd(text) or self.lower and not unicodedata.is_normalized("NFC", text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return b"".join(map(self.table.__getitem__, self.words(text.lower() if self.lower else text)))
 
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        return list(map(self.encode, texts))
+
 
 def text_encoder(path: str) -> TextEncoder:
     return worker_cache(("encoder", path), lambda: TextEncoder(path))
