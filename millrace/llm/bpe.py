@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import WordTable, byte_letters, chunks, has_odd, id_type, text_list, worker_cache
+from millrace.llm.common import WordTable, byte_letters, chunks, has_odd, id_type, small_batches, text_list, worker_cache
 from millrace.llm.tokens import LOWER_WORDS, vocabulary_path
 
 # The word pattern by Unicode classes, and white space as Unicode has it.
@@ -190,7 +190,7 @@ def encode_documents(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = word_codec(vocabulary)
-        for batch in batches:
+        for batch in small_batches(batches, "text"):
             ids = [codec.encode(t) for t in text_list(batch, "text")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
@@ -222,7 +222,7 @@ def codec_digests(
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = word_codec(vocabulary)
-        for batch in batches:
+        for batch in small_batches(batches, "text"):
             texts = text_list(batch, "text")
             rows = []
             for start, stop in chunks(texts):

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import id_type, text_list
+from millrace.llm.common import id_type, small_batches, text_list
 from millrace.session import materialize
 
 SEED = 42
@@ -47,7 +47,7 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     """``doc_id`` and ``fingerprint`` (long) of every row. Null and empty texts have fingerprint 0."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, "text"):
             values = [fingerprint(t, shingle) for t in text_list(batch, "text")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(values, pa.int64())], ["doc_id", "fingerprint"])
 
@@ -143,7 +143,7 @@ def _shard_keys(fingerprint: Column, radius: int, levels: int) -> Column:
 
 
 def links(distinct: DataFrame, radius: int = 3, *, shard_rows: int = SHARD_ROWS, fine_above: int = 50_000_000) -> DataFrame:
-    """Links ``a, b`` whose components are those of all pairs of fingerprints within the radius.
+    """Links ``a, b``, some of them repeated, whose components are those of all pairs of fingerprints within the radius.
 
     ``distinct``: stored, one row per ``fingerprint``. A shard gives one link per member to a
     member of its group. Above ``fine_above`` fingerprints shards take a second block, which
@@ -193,7 +193,7 @@ def links(distinct: DataFrame, radius: int = 3, *, shard_rows: int = SHARD_ROWS,
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], ["a", "b"])
 
     dealt = tiles.repartition("shard", "x", "y").sortWithinPartitions("shard", "x", "y")
-    return dealt.select("shard", "x", "y", "fingerprint").mapInArrow(search, "a long, b long").distinct()
+    return dealt.select("shard", "x", "y", "fingerprint").mapInArrow(search, "a long, b long")
 
 
 def _then_none(batches: Iterator) -> Iterator:
@@ -205,26 +205,23 @@ def components(edges: DataFrame) -> DataFrame:
     """``node, root`` of every node of ``edges`` (``a, b``): the least node reachable. Alternating large and small stars.
 
     Each step takes minima with partial sums before the shuffle and joins them from a stored
-    table, so that a node with very many links is split by the engine's skew handling.
+    table, so that a node with very many links is split by the engine's skew handling. It ends
+    when every node either has greater neighbours only or is linked to one node.
     """
     edges = materialize(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct())
-    before = None
     while True:
-        # large star: the greater neighbours of a node link to the least of all its neighbours
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = materialize(both.groupBy("a").agg(F.min("b").alias("m")))
+        least = materialize(both.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n")))
+        if least.filter("m < a and n > 1").isEmpty():
+            break
+        # large star: the greater neighbours of a node link to the least of the node and all its neighbours
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b"))
-        edges = materialize(large.distinct())
+        edges = materialize(large)
         # small star: a node and its lesser neighbours link to the least of them
         least = materialize(edges.groupBy("a").agg(F.min("b").alias("m")))
         small = edges.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = materialize(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct())
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
-        if state == before:
-            break
-        before = state
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
-        edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+    return least.select(F.col("a").alias("node"), F.least("a", "m").alias("root"))
 
 
 def near_duplicates(

@@ -12,13 +12,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import WordTable, chunks, id_type, text_list, worker_cache
+from millrace.llm.common import WordTable, chunks, id_type, small_batches, text_list, worker_cache
 from millrace.llm.labelled import id_remainder, sample
 
 WORD = re.compile(r"\w+")
 STEM = 4
 HASH_BITS = 40
 SCREEN_BITS = 20
+HELD_WORDS = 150_000
 # Fixed odd multipliers that mix the words of a pair, for neighbours and for words with one between.
 PAIRS = ((1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F), (2, 0x165667B19E3779F9, 0x27D4EB2F165667C5))
 
@@ -38,8 +39,8 @@ def gram_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     import xxhash
 
     digest = xxhash.xxh64_intdigest
-    table = worker_cache(("word-hash",), lambda: WordTable(lambda w: digest(w.encode())))
-    stems = worker_cache(("stem-hash", STEM), lambda: WordTable(lambda w: digest(w[:STEM].encode(), 1)))
+    table = worker_cache(("word-hash",), lambda: WordTable(lambda w: digest(w.encode()), HELD_WORDS))
+    stems = worker_cache(("stem-hash", STEM), lambda: WordTable(lambda w: digest(w[:STEM].encode(), 1), HELD_WORDS))
     found = [WORD.findall(t.lower()) for t in texts]
     sizes = [len(f) for f in found]
     flat = list(chain.from_iterable(found))
@@ -96,23 +97,26 @@ def ftrl(
 def fit(
     docs: DataFrame, labels: DataFrame, usable: Column, *, id_col: str = "doc_id", text_col: str = "text",
     label_col: str = "toxic", per_class: int = 1500, epochs: int = 8, alpha: float = 1.0, beta: float = 1.0,
-    l1: float = 8.0, l2: float = 0.0, min_rows: int = 5,
+    l1: float = 8.0, l2: float = 0.0, min_rows: int = 5, most_grams: int = 60_000,
 ) -> Model:
     """Fit on at most ``per_class`` labelled documents of each class, those first by a hash of their ids.
 
-    Documents become sets of feature hashes in the tasks; the driver sees only those sets.
+    Documents become sets of feature hashes in the tasks; the driver sees only those sets. Of the
+    sample, documents with more than ``most_grams`` features are left out, so what the driver
+    holds is bounded by both parameters.
     """
     chosen = sample(labels, label_col, usable, per_class)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [np.unique(gram_hashes([t])[0]).astype("<u8").tobytes() for t in text_list(batch, "text")]
+        for batch in small_batches(batches, "text"):
+            found = [np.unique(gram_hashes([t])[0]) for t in text_list(batch, "text")]
+            sets = [g.astype("<u8").tobytes() if len(g) <= most_grams else None for g in found]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("label"), pa.array(sets, pa.binary())], ["doc_id", "label", "grams"])
 
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     rows = texts.join(F.broadcast(chosen), "doc_id").mapInArrow(
-        features, f"doc_id {id_type(docs, id_col)}, label int, grams binary").toArrow()
+        features, f"doc_id {id_type(docs, id_col)}, label int, grams binary").filter("grams is not null").toArrow()
     seen = sorted({(i, label, grams) for i, label, grams in zip(*(rows.column(c).to_pylist() for c in rows.column_names))})
     return ftrl([np.frombuffer(g, "<u8") for _, _, g in seen], [label for _, label, _ in seen], epochs=epochs, alpha=alpha,
                 beta=beta, l1=l1, l2=l2, min_rows=min_rows)
@@ -144,7 +148,7 @@ def score_documents(
     shared = docs.sparkSession.sparkContext.broadcast((model.features, model.weights, model.bias))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, "text"):
             found = scores(Model(*shared.value), text_list(batch, "text"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(found), pa.array((found >= threshold).astype(np.int32))],
@@ -159,7 +163,7 @@ def keep_clean(docs: DataFrame, model: Model, *, text_col: str = "text", thresho
     shared = docs.sparkSession.sparkContext.broadcast((model.features, model.weights, model.bias))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, text_col):
             yield batch.filter(pa.array(scores(Model(*shared.value), text_list(batch, text_col)) < threshold))
 
     return docs.mapInArrow(keep, docs.schema)
