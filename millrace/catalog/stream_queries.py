@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import functions as F
 
 from millrace.catalog import inputs
@@ -198,15 +200,18 @@ def window_sensor_stream(spark, folder):
 # -- hooks ---------------------------------------------------------------------------------------
 
 
-def _lengths(batch):
-    return batch.assign(n_words=batch["text"].str.split().str.len().astype("int32")).drop(columns="text")
+def _unaccented(batch):
+    """Texts without accents: a rule of Unicode that no column function knows."""
+    def plain(text):
+        return "".join(c for c in unicodedata.normalize("NFD", text) if unicodedata.category(c) != "Mn")
+
+    return batch.assign(plain=batch["text"].map(plain, na_action="ignore")).drop(columns="text")
 
 
-@add("m1_sample_transform", f"""
-SELECT conv_id, turn, CAST(len({inputs.sql_tokens('text')}) AS INTEGER) AS n_words FROM conversations""")
+@add("m1_sample_transform", "SELECT conv_id, turn, strip_accents(text) AS plain FROM conversations")
 def sample_transform(spark, folder):
     rows = inputs.load_table(spark, folder, "conversations").select("conv_id", "turn", "text")
-    return hooks.map_samples(rows, _lengths, "conv_id long, turn long, n_words int")
+    return hooks.map_samples(rows, _unaccented, "conv_id long, turn long, plain string")
 
 
 @add("m2_reader_hooks", f"""

@@ -15,6 +15,7 @@ from millrace.session import materialize
 # Smallest box share, regions kept per class.
 MIN_RATIO = 0.04
 CLASS_CAP = 600
+MAX_CANDIDATES = 20_000_000
 BOX = ("cls", "xmin", "ymin", "xmax", "ymax")
 
 
@@ -81,10 +82,13 @@ def cap_per_class_any(
     kept for a class if it is among the first ``cap`` files of that class. These
     files, at most ``cap`` per class, are found in parallel; only they go through
     the ordered pass, which decides exactly as a single reader of all files would.
+    That pass is one task: more than MAX_CANDIDATES files in it are an error.
     """
     counts = rois.groupBy(file, cls).agg(F.count(F.lit(1)).alias("_n"))
     counts = materialize(counts)
     names = materialize(top_n(counts, [cls], [file], cap).select(file).distinct())
+    if (n := names.count()) > MAX_CANDIDATES:
+        raise ValueError(f"{n} files compete for the places of their classes; at most {MAX_CANDIDATES} can be read in order")
     candidates = lookup_join(counts, names, [file], "left_semi")
     per_file = candidates.groupBy(file).agg(F.collect_list(F.struct(F.col(cls).alias("c"), F.col("_n").alias("n"))).alias("_r"))
 

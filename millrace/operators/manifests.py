@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.hashing import hash32
 from millrace.functions.text import dotted_suffix, tokens
-from millrace.plans import lookup_join, top_n
+from millrace.plans import lookup_join, numbered, top_n
 from millrace.session import materialize
 
 # Image extensions of folders and of archives; names that are not carried over.
@@ -18,6 +18,7 @@ ARCHIVE_IMAGES = (".jpg", ".jpeg", ".tiff", ".bmp", ".png")
 NOT_CARRIED = ("log", "eval")
 NOT_CARRIED_PREFIX = "model."
 COPIES_PER_CHUNK = 100_000
+TOP_ROWS = 10_000
 
 
 def image_manifest(files: DataFrame, path: str = "path") -> DataFrame:
@@ -154,10 +155,16 @@ def changed_minus_deleted(changed: DataFrame, deleted: DataFrame, column: str =
 
 
 def limit_n(messages: DataFrame, n: int | None, order: Sequence[str]) -> DataFrame:
-    """The first ``n`` messages in order; all of them for None or -1."""
+    """The first ``n`` messages in order; all of them for None or -1.
+
+    Up to TOP_ROWS are collected from all tasks in order; more are cut off by numbers given in
+    ranges, for which ``order`` must be unique.
+    """
     if n is None or n < 0:
         return messages
-    return messages.orderBy(*order).limit(n)
+    if n <= TOP_ROWS:
+        return messages.orderBy(*order).limit(n)
+    return numbered(messages, [], order, "_n").filter(F.col("_n") <= n).drop("_n")
 
 
 def sorted_scan(files: DataFrame, path: str = "path") -> DataFrame:

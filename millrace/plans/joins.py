@@ -44,18 +44,21 @@ def lookup_join(
     keys = list(keys)
     if broadcastable(lookup, max_bytes):
         return large.join(F.broadcast(lookup), keys, how)
-    hot = _hot_keys(large, keys, rows_per_task, bytes_per_task)
+    hot, many_null = _hot_keys(large, keys, rows_per_task, bytes_per_task)
+    if hot is None and not many_null:
+        return large.join(lookup, keys, how)
     some = F.lit(True)
     for key in keys:
         some = some & F.col(f"`{key}`").isNotNull()
-    # a broadcast of at most MAX_HOT_KEYS rows
-    plain = large.filter(some) if hot is None else large.filter(some).join(F.broadcast(hot.select(*keys)), keys, "left_anti")
-    out = plain.join(lookup, keys, how)
+    known = large.filter(some)
+    out = known.join(lookup, keys, how)
     if hot is not None:
+        # a broadcast of at most MAX_HOT_KEYS rows
+        out = known.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(lookup, keys, how)
         # by content, so that a repeated task deals the same; the partition id separates rows that are copies of each other
         content = [F.col(f"`{f.name}`") for f in large.schema.fields if "map<" not in f.dataType.simpleString()]
         deal = F.pmod(F.xxhash64(F.spark_partition_id(), *content), F.col("_parts")).cast("int")
-        left = large.filter(some).join(F.broadcast(hot), keys).withColumn("_part", deal).drop("_parts")
+        left = known.join(F.broadcast(hot), keys).withColumn("_part", deal).drop("_parts")
         right = lookup.join(F.broadcast(hot), keys).withColumn(
             "_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
         out = out.unionByName(left.join(right, [*keys, "_part"], how).drop("_part"))
@@ -65,13 +68,11 @@ def lookup_join(
     return out
 
 
-def _hot_keys(df: DataFrame, keys: list[str], rows_per_task: int, bytes_per_task: int) -> DataFrame | None:
-    """``keys, _parts`` of the keys too large for a task as a local table of at most MAX_HOT_KEYS rows; None without any."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum(row_width(df)).alias("_b")).dropna(subset=keys)
+def _hot_keys(df: DataFrame, keys: list[str], rows_per_task: int, bytes_per_task: int) -> tuple[DataFrame | None, bool]:
+    """``keys, _parts`` of the keys too large for a task, at most MAX_HOT_KEYS, or None; and whether null keys are too many."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum(row_width(df)).alias("_b"))
     share = F.greatest(F.col("_n") / F.lit(rows_per_task), F.col("_b") / F.lit(bytes_per_task))
-    rows = counts.filter(share > 1).select(*keys, F.ceil(share).cast("int").alias("_parts")).orderBy(
-        F.desc("_parts")).limit(MAX_HOT_KEYS).collect()
-    if not rows:
-        return None
-    schema = counts.select(*keys, F.lit(1).alias("_parts")).schema
-    return df.sparkSession.createDataFrame(rows, schema)
+    hot = counts.filter(share > 1).select(*keys, F.ceil(share).cast("int").alias("_parts"))
+    rows = hot.orderBy(F.desc("_parts")).limit(MAX_HOT_KEYS).collect()
+    full = [r for r in rows if all(r[k] is not None for k in keys)]
+    return df.sparkSession.createDataFrame(full, hot.schema) if full else None, len(full) < len(rows)

@@ -35,13 +35,18 @@ def load_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+FEW_FILES = 16
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Give a scan of fewer partitions than cores to all cores; a larger scan stays as it is.
+    """Give a scan of a few files that make fewer partitions than cores to all cores; any other input stays as it is.
 
-    For inputs in a few unsplittable files that costly expressions follow.
+    For small inputs in unsplittable files that costly expressions follow.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    if len(df.inputFiles()) > FEW_FILES or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
 
 
 def shared_folder(spark: SparkSession) -> str:
