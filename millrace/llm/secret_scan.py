@@ -29,16 +29,19 @@ SENSITIVE = {
 }
 HARMLESS = frozenset("example sample changeme placeholder test dummy none null true false undefined todo".split())
 
-NAME = r"[A-Za-z_$][\w$]*(?:[.\-][A-Za-z_$][\w$]*)*"
+# Every repetition is possessive, and a name without an assignment is taken whole: time is linear in long names and blanks.
+NAME = r"[A-Za-z_$][\w$]*+(?:[.\-][A-Za-z_$][\w$]*+)*+"
+QUOTED = r""" "[^"\\\n]*+(?:\\.[^"\\\n]*+)*+" | '[^'\\\n]*+(?:\\.[^'\\\n]*+)*+' """
 LEXEME = re.compile(rf"""(?ax)
-    (?P<comment> (?:^|(?<=\s))(?:\#|//)[^\n]* )
-  | (?P<name> {NAME} | "{NAME}"(?=\s{{0,8}}[:=]) | '{NAME}'(?=\s{{0,8}}[:=]) )
-    [^\S\n]{{0,8}} (?: :\s*[A-Za-z_][\w\[\]]* [^\S\n]{{0,8}} (?==) )? (?P<sign> :=|=>|=(?!=)|:(?!:) ) [^\S\n]{{0,8}}
-    (?P<value> (?: "(?:[^"\\\n]|\\.){{0,4096}}" | '(?:[^'\\\n]|\\.){{0,4096}}' | `[^`\n]{{0,4096}}`
-               | {NAME} (?=\s*(?:[;,)\n+]|$)) | [^\s"'`,;(){{}}\[\]]++ (?![(\[]) )
-      (?: [^\S\n]{{0,8}} \+ [^\S\n]{{0,8}} (?: "(?:[^"\\\n]|\\.){{0,4096}}" | '(?:[^'\\\n]|\\.){{0,4096}}' | {NAME} ) )* )
+    (?P<comment> (?:^|(?<=\s))(?:\#|//) )
+  | (?P<name> {NAME} | "{NAME}"(?=\s*+[:=]) | '{NAME}'(?=\s*+[:=]) )
+    [^\S\n]*+ (?: :\s*+[A-Za-z_][\w\[\]]*+ [^\S\n]*+ (?==) )? (?P<sign> :=|=>|=(?!=)|:(?!:) ) [^\S\n]*+
+    (?P<value> (?: {QUOTED} | `[^`\n]*+` | {NAME} (?=\s*(?:[;,)\n+]|$)) | [^\s"'`,;(){{}}\[\]]++ (?![(\[]) )
+      (?: [^\S\n]*+ \+ [^\S\n]*+ (?: {QUOTED} | {NAME} ) )*+ )
+  | {NAME}
 """)
-OPERAND = re.compile(rf"""(?a)"((?:[^"\\]|\\.)*)"|'((?:[^'\\]|\\.)*)'|`([^`]*)`|({NAME})(?![^\s+])|([^\s+]+)""")
+OPERAND = re.compile(
+    rf"""(?a)"([^"\\]*+(?:\\.[^"\\]*+)*+)"|'([^'\\]*+(?:\\.[^'\\]*+)*+)'|`([^`]*+)`|({NAME})(?![^\s+])|([^\s+]+)""")
 PHRASE = re.compile(r"[A-Za-z]+(?:[._-][A-Za-z]+)+")
 PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 
@@ -72,23 +75,46 @@ def literal_strength(value: str) -> float:
     return min(1.0, bits / 4.0) * min(1.0, len(value) / 12) * (0.4 + 0.3 * min(classes - 1, 2))
 
 
-def assignments(text: str) -> Iterator[tuple[str, str, tuple[tuple[int, int], ...]]]:
+def lexemes(text: str) -> Iterator[tuple[re.Match, bool]]:
+    """Assignments of a text, and whether each stands in a comment: from its sign to the end of the line."""
+    at, end, inside = 0, len(text), False
+    while True:
+        m = LEXEME.search(text, at, end)
+        if m is None:
+            if not inside:
+                return
+            at, end, inside = end, len(text), False
+            continue
+        at = m.end()
+        if m["name"] is not None:
+            yield m, inside
+        elif m["comment"] is not None and not inside:
+            stop = text.find("\n", at)
+            end, inside = len(text) if stop < 0 else stop, True
+
+
+def assignments(text: str, *, comments: bool = False) -> Iterator[tuple[str, str, tuple[tuple[int, int], ...]]]:
     """(name, literal, spans of the literal's parts) of assignments in source and configuration syntax.
 
     ``name = "literal"``, ``name: literal``, ``"name": "literal"``, ``name := ...``, typed and
     dotted names, sums of literals and names. A name assigned before stands for its literal, and
-    the spans are those of the literals themselves. Comments are passed over.
+    the spans are those of the literals themselves. Comments are passed over, or read too with
+    ``comments``; what they assign holds in comments only.
     """
     constants: dict[str, tuple[str, tuple[tuple[int, int], ...]]] = {}
-    for m in LEXEME.finditer(text):
-        if m["name"] is None:
+    commented: dict[str, tuple[str, tuple[tuple[int, int], ...]] | None] = {}
+    for m, inside in lexemes(text):
+        if inside and not comments:
             continue
         name, base = m["name"].strip("\"'"), m.start("value")
         value, spans, known = [], [], True
         for o in OPERAND.finditer(m["value"]):
             group = o.lastindex
-            if group == 4 and o[4] in constants:
-                literal, where = constants[o[4]]
+            held = None
+            if group == 4:
+                held = commented[o[4]] if inside and o[4] in commented else constants.get(o[4])
+            if held is not None:
+                literal, where = held
                 value.append(literal)
                 spans += where
             elif group == 4 and "+" in m["value"]:
@@ -96,17 +122,22 @@ def assignments(text: str) -> Iterator[tuple[str, str, tuple[tuple[int, int], ..
             else:
                 value.append(o[group])
                 spans.append((base + o.start(group), base + o.end(group)))
-        if known and value:
-            constants[name] = "".join(value), tuple(spans)
-            yield name, *constants[name]
+        new = ("".join(value), tuple(spans)) if known and value else None
+        if inside:
+            commented[name] = new
         else:
+            commented.pop(name, None)
             constants.pop(name, None)
+            if new is not None:
+                constants[name] = new
+        if new is not None:
+            yield name, *new
 
 
 def literal_spans(text: str, threshold: float = 0.55) -> list[tuple[int, int, int]]:
     """(start, kind, end) of literals whose strength times their target name's weight reaches the threshold."""
     found = set()
-    for name, value, spans in assignments(text):
+    for name, value, spans in assignments(text, comments=True):
         weight = name_weight(name)
         if weight * 1.0 >= threshold and weight * literal_strength(value) >= threshold:
             found.update((start, 3, end) for start, end in spans if end > start)

@@ -75,6 +75,41 @@ def test_long_odd_texts_are_scanned_in_time():
         secret_scan.scan(text)
 
 
+def test_lexer_has_no_bounds():
+    secret = "tR7#mVq2!xLp"
+
+    def found(text):
+        return [text[a:b] for a, _, b in secret_scan.literal_spans(text)]
+
+    gap = " " * 12
+    assert found(f'encryption_key{gap}={gap}"{secret}"') == [secret]
+    assert found(f'"db_password"{gap}:{gap}"{secret}"') == [secret]
+    assert found(f'part{gap}= "{secret}"\nclient_secret{gap}:={gap}part') == [secret]
+    assert found(f'client_secret = "tR7#mVq2"{gap}+{gap}"!xLpW9$z"') == ["tR7#mVq2", "!xLpW9$z"]
+    for quote in "\"'`":
+        long = (secret + "wZ4%") * 625
+        assert len(long) == 10_000 and found(f"private_key = {quote}{long}{quote}; b = 1") == [long]
+
+
+def test_lexer_reads_comments():
+    secret = "tR7#mVq2!xLp"
+
+    def found(text):
+        return [text[a:b] for a, _, b in secret_scan.literal_spans(text)]
+
+    assert found(f'item # 4 of the list // then db_password = "{secret}" and so on') == [secret]
+    assert found(f'# part = "{secret}"\n# client_secret = part') == [secret]
+    assert found(f'part = "plain"\n# part = "{secret}"\nclient_secret = part') == []
+    assert found(f'# note:\nclient_secret = "{secret}"') == [secret]
+    assert list(secret_scan.assignments("a = 1 # b = 2\nc = 3 # d")) == [("a", "1", ((4, 5),)), ("c", "3", ((18, 19),))]
+
+
+def test_long_names_and_blanks_are_scanned_in_time():
+    for text in ("=" + "a" * 200_000, "=" + "a." * 100_000, "=" + '"a' * 100_000, "a=" + " " * 200_000, ("a" + " " * 500) * 400 + "=",
+                 " # a = b" * 30_000, "\n# a = 'b" * 30_000, 'k="' + "x" * 300_000, "k='" + "\\'" * 100_000 + "'", "data:x;y," + "A" * 300_000):
+        secret_scan.scan(text)
+
+
 def plain_grams(text):
     words = re.findall(r"\w+", text.lower())
     return {("w", w) for w in words} | {("s", w[:4]) for w in words} | set(zip(words, words[1:])) | {
