@@ -90,7 +90,10 @@ class Best:
         return np.where(self.count >= self.k, self.scores[:, -1], np.iinfo(np.int64).min)
 
     def add(self, rows: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
-        order = np.lexsort((ids, -scores, rows))
+        order = np.lexsort((-scores, ids, rows))
+        again = np.append(False, (np.diff(rows[order]) == 0) & (np.diff(ids[order]) == 0))
+        order = order[~again]  # of the rows of an id the best one
+        order = order[np.lexsort((ids[order], -scores[order], rows[order]))]
         rows, scores, ids = rows[order], scores[order], ids[order]
         starts = np.flatnonzero(np.append(True, np.diff(rows) != 0))
         for start, stop in zip(starts.tolist(), np.append(starts[1:], len(rows)).tolist()):
@@ -209,9 +212,11 @@ def _search(stored: DataFrame, block: DataFrame, k: int) -> DataFrame:
                 where = np.flatnonzero(sizes == n)
                 for a in range(0, len(where), TILE):
                     at = where[a : a + TILE]
-                    _, unique = np.unique(ids[at], return_index=True)  # repeated rows of a tile count once
-                    at = at[unique]
-                    candidates = Block(ids[at], flat[offsets[at][:, None] + np.arange(n)])
+                    own, vectors = ids[at], flat[offsets[at][:, None] + np.arange(n)]
+                    if len(np.unique(own)) < len(own):  # equal rows of a tile count once
+                        _, first = np.unique(np.column_stack([own, vectors.view(np.int64)]), axis=0, return_index=True)
+                        own, vectors = own[first], vectors[first]
+                    candidates = Block(own, vectors)
                     for j, tile in enumerate(tiles[n]):
                         search_tile(tile, candidates, best[n], j * QUERY_TILE)
         for n, (names, _) in shared.value.items():

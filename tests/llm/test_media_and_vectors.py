@@ -116,6 +116,16 @@ def test_vector_search(spark, size, block):
     assert sorted(map(tuple, got.collect())) == brute_top(rows, 10, lambda i: i % 20 == 0)
 
 
+@pytest.mark.parametrize("block", [8192, 7])
+def test_vector_search_of_ids_with_several_vectors(spark, block):
+    rng = np.random.default_rng(9)
+    rows = [(i % 200, rng.normal(size=16).tolist()) for i in range(1500)] + [(500, (rng.normal(size=16) + 3).tolist()) for _ in range(300)]
+    rows += rows[::7]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(2)
+    got = vector_topk.top_products(table, F.col("vec_id") % 20 == 0, query_block=block)
+    assert sorted(map(tuple, got.collect())) == brute_top(rows, 10, lambda i: i % 20 == 0)
+
+
 def test_vector_search_of_few_or_no_rows(spark):
     table = spark.createDataFrame([(100, [1.0, 2.0]), (7, [0.5, -1.0])], "vec_id long, embedding array<float>")
     got = vector_topk.top_products(table, F.col("vec_id") % 100 == 0).collect()
