@@ -6,7 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.catalog.registry import Registry
-from millrace.llm import attribution, bpe, mpeg, packing, quality, secret_scan, simhash, token_files, toxicity, vector_topk
+from millrace.llm import (
+    attribution,
+    bpe,
+    conversation_trie,
+    language_id,
+    mpeg,
+    packing,
+    quality,
+    secret_scan,
+    simhash,
+    spelling,
+    token_files,
+    toxicity,
+    vector_topk,
+)
 from millrace.session import load_table, scratch_path
 
 registry = Registry()
@@ -62,3 +76,18 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @registry.add("op10_bpe_codec")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.codec_digests(load_table(spark, folder, "documents"))
+
+
+@registry.add("op11_language_id")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.languages(load_table(spark, folder, "documents"))
+
+
+@registry.add("op12_conversation_trie")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_trie.conversation_trie(load_table(spark, folder, "conversations"))
+
+
+@registry.add("op13_spelling_variants")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(load_table(spark, folder, "documents"))
