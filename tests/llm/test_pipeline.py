@@ -4,7 +4,8 @@ from collections import Counter
 
 import corpus_pipeline
 import pytest
-from llm.test_texts import plain_components, plain_fingerprint
+from llm.conftest import texts_of
+from llm.test_near_copies import least_ids
 from llm.test_tokens import check_packing
 from pyspark.sql import functions as F
 
@@ -30,12 +31,7 @@ def test_stages_follow_each_other(spark):
             assert bad.filter(F.col("doc_id").isin(kept)).count() <= 0.1 * bad.count()
             assert len(kept) > 0.75 * before.count()
         if name == "near_duplicates":
-            rows = before.collect()
-            roots = plain_components([plain_fingerprint(r.text) for r in rows], 3)
-            least = {}
-            for r, root in zip(rows, roots):
-                least[root] = min(least.get(root, r.doc_id), r.doc_id)
-            assert kept == set(least.values())
+            assert kept == {least for _, least in least_ids(texts_of(before))}
         if name == "secrets":
             assert docs.count() == before.count()
             assert not any(secret_scan.base_spans(r.text) for r in docs.collect())
