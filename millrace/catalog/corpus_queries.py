@@ -106,7 +106,8 @@ def decode_ids(spark, folder):
 
 @add("d5_flag_unknown", f"""
 {_WITH}, {_VOCAB}
-SELECT token, cnt, token NOT IN (SELECT token FROM vocab) OR token = '{corpus.DIALOG_UNKNOWN}' AS is_unknown FROM counts""")
+SELECT c.token, c.cnt, v.token IS NULL OR c.token = '{corpus.DIALOG_UNKNOWN}' AS is_unknown
+FROM counts c LEFT JOIN (SELECT DISTINCT token FROM vocab) v ON c.token = v.token""")
 def flag_unknown(spark, folder):
     counts = corpus.materialize(corpus.token_counts(inputs.corpus_tokens(spark, folder)))
     vocab = corpus.build_vocabulary(counts, DIALOG_SPECIALS, MAX_SIZE)

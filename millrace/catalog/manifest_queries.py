@@ -58,12 +58,12 @@ def image_manifest(spark, folder):
 @add("a3_scan_image_folder", """
 SELECT page_id, 'label=' || page_id % 7 AS label, 'set=' || page_id % 4 AS root FROM pages WHERE page_id % 5 <> 4""")
 def scan_image_folder(spark, folder):
-    """Files of page ids are written into label folders, some with another extension, then the folder is scanned."""
+    """Files of at most 1,000 page ids are written into label folders, some with another extension, then the folder is scanned."""
     path = scratch_path(spark, "image-folder")
     n = F.col("page_id")
-    rows = table(spark, folder, "pages").select(n, (n % 4).alias("set"), (n % 7).alias("label")).repartition(4, "set", "label")
+    rows = table(spark, folder, "pages").select(n, (n % 4).alias("set"), (n % 7).alias("label")).repartition("set", "label", F.floor(n / 10_000))
     for part, extension in ((rows.filter(n % 5 != 4), "jpg"), (rows.filter(n % 5 == 4), "txt")):
-        part.write.mode("append").partitionBy("set", "label").option("extension", extension).csv(path)
+        part.write.mode("append").partitionBy("set", "label").option("maxRecordsPerFile", 1000).option("extension", extension).csv(path)
     files = scans.image_folder(spark, path, content=True)
     ids = F.explode(F.split(F.rtrim(F.decode("content", "UTF-8"), F.lit("\n")), "\n"))
     found = files.select(ids.alias("page_id"), "label", F.substring_index("root", "/", -1).alias("root"))
@@ -158,14 +158,12 @@ def scan_zip_members(spark, folder):
 
 
 @add("a4_read_listed_members", """
-SELECT 'a' || doc_id || '.zip' AS archive, source || '/' || doc_id || '.txt' AS member, md5(text) AS digest FROM documents
-WHERE doc_id % 3 = 0""")
+SELECT 'a' || doc_id || '.zip' AS archive, source || '/' || doc_id || '.txt' AS member, md5(text) AS digest FROM documents""")
 def read_listed_members(spark, folder):
-    """Members are listed without unpacking, filtered, and only those wanted are read."""
+    """Members are listed without unpacking, and all that have the wanted extension are read; hidden ones are passed over."""
     packed = materialize(table(spark, folder, "documents").select("doc_id", "source", "text").mapInPandas(
         _zipped, "path string, content binary"))
-    names = scans.zip_members(packed, read=False, extensions=(".txt",)).filter(
-        F.regexp_extract("member", "([0-9]+)[.]txt$", 1).cast("long") % 3 == 0)
+    names = scans.zip_members(packed, read=False, extensions=(".txt",))
     return scans.listed_members(packed, names).select("archive", "member", F.md5("content").alias("digest"))
 
 
@@ -304,7 +302,7 @@ def parsed_properties(spark, folder):
 def scan_properties(spark, folder):
     """A file per nation is written, its lines in order, then scanned."""
     path = scratch_path(spark, "properties")
-    ordered = property_lines(spark, folder).repartition(4, "file").sortWithinPartitions("file", "line_no")
+    ordered = property_lines(spark, folder).repartition("file").sortWithinPartitions("file", "line_no")
     ordered.select("file", F.col("line").alias("value")).write.partitionBy("file").text(path)
     found = scans.properties_files(spark, path)
     return found.withColumn("file", F.regexp_extract("file", "file=([0-9]+)/", 1).cast("int"))

@@ -223,6 +223,24 @@ def reader_hooks(spark, folder):
     return pairs.select("doc_id", "line_no", F.array_join("source", " ").alias("source"), F.array_join("target", " ").alias("target"))
 
 
+def _sentence_pairs(line):
+    """Each sentence of a line with the next one: none for a line of a single sentence."""
+    sentences = [t for t in ([w for w in s.split(" ") if w] for s in line.split(".")) if t]
+    yield from zip(sentences, sentences[1:])
+
+
+@add("m2_many_samples", """
+WITH cut AS (SELECT conv_id, turn, list_filter(list_transform(string_split(text, '.'),
+  lambda s: list_filter(string_split(s, ' '), lambda w: w <> '')), lambda t: len(t) > 0) AS parts FROM conversations),
+numbered AS (SELECT conv_id, turn, parts, unnest(range(1, len(parts))) AS i FROM cut)
+SELECT conv_id, turn, array_to_string(parts[i], ' ') AS source, array_to_string(parts[i + 1], ' ') AS target FROM numbered""")
+def many_samples(spark, folder):
+    """Any number of pairs per message, made by a reader of its own."""
+    rows = inputs.load_table(spark, folder, "conversations").select("conv_id", "turn", F.col("text").alias("line"))
+    pairs = hooks.read_many_samples(rows, _sentence_pairs)
+    return pairs.select("conv_id", "turn", F.array_join("source", " ").alias("source"), F.array_join("target", " ").alias("target"))
+
+
 @add("m4_message_consumer", "SELECT page_id % 4 AS grp, count(*) AS n FROM pages GROUP BY 1")
 def message_consumer(spark, folder):
     path = scratch_path(spark, "consumer")

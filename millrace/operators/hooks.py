@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 
 def map_samples(df: DataFrame, transform: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
@@ -28,3 +29,21 @@ def read_samples(
     cut = lines.withColumn("_tokens", read_tokens(lines[line])).drop(line)
     source, target = read_pair(cut["_tokens"])
     return cut.withColumns({"source": source, "target": target}).drop("_tokens")
+
+
+def read_many_samples(
+    lines: DataFrame, read: Callable[[str], Iterator[tuple[list[str], list[str]]]], line: str = "line",
+) -> DataFrame:
+    """Any number of token pairs per corpus line by a reader of its own, beside the line's other columns.
+
+    The reader is a table function joined laterally, in Arrow batches: its pairs stream out one by one, and a line
+    of many pairs is never held together. A null line, and one without pairs, gives no row.
+    """
+
+    class Reader:
+        def eval(self, text: str) -> Iterator[tuple[list[str], list[str]]]:
+            if text is not None:
+                yield from read(text)
+
+    pairs = F.udtf(Reader, returnType="source array<string>, target array<string>", useArrow=True)
+    return lines.lateralJoin(pairs(F.col(line).outer())).drop(line)

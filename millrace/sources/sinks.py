@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from millrace.functions.text import flatten_path_name
@@ -40,10 +40,13 @@ def write_centered_dataset(
     ).write.partitionBy(group).parquet(path)
 
 
-def write_jsonl_verified(messages: DataFrame, path: str, expected: int) -> int:
-    """One JSON line per message; the lines are counted again and must be ``expected``."""
-    messages.select(F.to_json(F.struct(*messages.columns)).alias("value")).write.text(path)
-    found = messages.sparkSession.read.text(path).count()
+def write_jsonl_verified(messages: DataFrame, path: str, expected: int, *, reread: bool = False) -> int:
+    """One JSON line per message. The rows are counted as they are written, or with ``reread`` the lines of the
+    files afterwards; a number other than ``expected`` is an error."""
+    written = Observation()
+    lines = messages.select(F.to_json(F.struct(*messages.columns)).alias("value"))
+    lines.observe(written, F.count(F.lit(1)).alias("n")).write.text(path)
+    found = messages.sparkSession.read.text(path).count() if reread else written.get["n"]
     if found != expected:
         raise RuntimeError(f"{path}: {found} lines written, {expected} expected")
     return found

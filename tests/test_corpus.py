@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions.text import tokens
-from millrace.operators import corpus
+from millrace.operators import corpus, hooks
 
 
 def words_of(spark, text):
@@ -104,3 +104,17 @@ def test_build_dataset(spark):
     out = corpus.build_dataset(data, vocab, key=["id"], copies=2, buckets=[(3, 4), (9, 9)])
     assert out.count() == 4
     assert {r["target"][-1] for r in out.collect()} == {corpus.EOS_ID}
+
+
+def test_a_reader_makes_any_number_of_pairs(spark):
+    def read(line):
+        words = line.split()
+        for i in range(1, len(words)):
+            yield words[:i], words[i:]
+
+    df = spark.createDataFrame([(1, "a b c"), (2, "alone"), (3, ""), (4, None), (5, "x y"), (5, "x y")], "id long, line string").repartition(2)
+    got = sorted((r.id, r.source, r.target) for r in hooks.read_many_samples(df, read).collect())
+    assert got == [(1, ["a"], ["b", "c"]), (1, ["a", "b"], ["c"]), (5, ["x"], ["y"]), (5, ["x"], ["y"])]
+    assert hooks.read_many_samples(df.limit(0), read).columns == ["id", "source", "target"]
+    many = spark.createDataFrame([(1, "w " * 3000)], "id long, line string")
+    assert hooks.read_many_samples(many, lambda line: ((["s"], [w]) for w in line.split())).count() == 3000

@@ -75,8 +75,11 @@ def test_verified_lines(spark):
     df = spark.range(5).selectExpr("id", "concat('a\n', id) AS text")
     path = scratch_path(spark, "test-lines")
     assert sinks.write_jsonl_verified(df, path, 5) == 5
-    with pytest.raises(RuntimeError, match="5 lines written, 6 expected"):
-        sinks.write_jsonl_verified(df, scratch_path(spark, "test-lines"), 6)
+    assert sinks.write_jsonl_verified(df.limit(0), scratch_path(spark, "test-lines"), 0) == 0
+    for reread in (False, True):
+        assert sinks.write_jsonl_verified(df, scratch_path(spark, "test-lines"), 5, reread=reread) == 5
+        with pytest.raises(RuntimeError, match="5 lines written, 6 expected"):
+            sinks.write_jsonl_verified(df, scratch_path(spark, "test-lines"), 6, reread=reread)
 
 
 def test_append_lines_and_buckets(spark):
