@@ -33,7 +33,13 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_checksums(token_files.read_token_files(spark, path))
 
 
-@registry.add("op2_vector_topk")
+@registry.add("op2_vector_topk", """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS "rank" FROM scored)
+SELECT query_id, "rank", vec_id, score FROM ranked WHERE "rank" <= 10""")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     return vector_topk.top_products(load_table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
 
