@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import WordTable, chunks, id_type, small_batches, text_list, worker_cache
 from millrace.llm.labelled import id_remainder, sample
+from millrace.session import materialize, scratch_scope
 
 WORD = re.compile(r"\w+")
 STEM = 4
@@ -101,25 +102,47 @@ def fit(
 ) -> Model:
     """Fit on at most ``per_class`` labelled documents of each class, those first by a hash of their ids.
 
-    Documents become sets of feature hashes in the tasks; the driver sees only those sets. Of the
-    sample, documents with more than ``most_grams`` features are left out, so what the driver
-    holds is bounded by both parameters.
+    Documents become sets of feature hashes in the tasks, where features of fewer than ``min_rows``
+    documents are left out; the driver sees the numbers of the other features only. Of the sample,
+    documents with more than ``most_grams`` features are left out, so what the driver holds is
+    bounded by both parameters. Of the rows of a repeated id the text with the least hash counts.
     """
     chosen = sample(labels, label_col, usable, per_class)
+    spark, kind = docs.sparkSession, id_type(docs, id_col)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text"):
-            found = [np.unique(gram_hashes([t])[0]) for t in text_list(batch, "text")]
-            sets = [g.astype("<u8").tobytes() if len(g) <= most_grams else None for g in found]
+            found = [np.unique(gram_hashes([t])[0]).astype(np.int64) for t in text_list(batch, "text")]
+            sets = [g if len(g) <= most_grams else None for g in found]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("label"), pa.array(sets, pa.binary())], ["doc_id", "label", "grams"])
-
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    rows = texts.join(F.broadcast(chosen), "doc_id").mapInArrow(
-        features, f"doc_id {id_type(docs, id_col)}, label int, grams binary").filter("grams is not null").toArrow()
-    seen = sorted({(i, label, grams) for i, label, grams in zip(*(rows.column(c).to_pylist() for c in rows.column_names))})
-    return ftrl([np.frombuffer(g, "<u8") for _, _, g in seen], [label for _, label, _ in seen], epochs=epochs, alpha=alpha,
-                beta=beta, l1=l1, l2=l2, min_rows=min_rows)
+                [batch.column("doc_id"), batch.column("label"), pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "label", "grams"])
+
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "doc_id")
+    one = texts.groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    with scratch_scope(spark):
+        sets = materialize(one.mapInArrow(features, f"doc_id {kind}, label int, grams array<long>").filter("grams is not null"))
+        counts = sets.select(F.explode("grams").alias("gram")).groupBy("gram").count()
+        known = np.sort(counts.filter(F.col("count") >= min_rows).select("gram").toArrow()["gram"].to_numpy())
+        shared = spark.sparkContext.broadcast(known)
+
+        def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                grams = [g.values.to_numpy() for g in batch.column("grams")]
+                known = shared.value
+                found = [np.searchsorted(known, g) for g in grams]
+                places = [p[known[np.minimum(p, len(known) - 1)] == g].astype(np.int32) if len(known) else p[:0].astype(np.int32)
+                          for p, g in zip(found, grams)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), batch.column("label"), pa.array(places, pa.list_(pa.int32()))], ["doc_id", "label", "places"])
+
+        rows = sets.mapInArrow(number, f"doc_id {kind}, label int, places array<int>").toArrow()
+    shared.unpersist()
+    ids, classes = rows["doc_id"].to_pylist(), rows["label"].to_pylist()
+    order = sorted(range(len(ids)), key=lambda i: ids[i])
+    places = [p.values.to_numpy() for p in rows["places"]]
+    model = ftrl([places[i] for i in order], [classes[i] for i in order], epochs=epochs, alpha=alpha, beta=beta, l1=l1, l2=l2,
+                 min_rows=min_rows)
+    return Model(known[model.features.astype(np.int64)].astype(np.uint64), model.weights, model.bias)
 
 
 def scores(model: Model, texts: list[str]) -> np.ndarray:
