@@ -153,6 +153,28 @@ def test_toxicity_on_held_out_rows(spark):
     assert rows[rows.y == 1].predicted.mean() > 0.6 and (rows.predicted == rows.y).mean() > 0.95
 
 
+def test_toxicity_fit_and_scores_equal_plain_ones(spark):
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choice("red green blue grey brown".split()) for _ in range(6)) + (" vile" if i % 2 else ""))
+            for i in range(80)] + [(80, None), (81, "")]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    tables = [spark.createDataFrame(r, "doc_id long, text string").repartition(3) for r in (rows, rows + rows[::-1])]
+    settings = dict(epochs=4, alpha=1.0, beta=1.0, l1=1.0, l2=0.0, min_rows=5)
+    sets = [np.unique(toxicity.gram_hashes([t or ""])[0]) for _, t in rows]
+    plain = toxicity.ftrl(sets, [i % 2 for i, _ in rows], **settings)
+    for docs in tables:  # repeated rows change nothing
+        model = toxicity.fit(docs, labels, F.lit(True), **settings)
+        assert model.features.tolist() == plain.features.tolist() and model.bias == plain.bias
+        assert model.weights.tolist() == plain.weights.tolist() and len(model.weights)
+    weight = dict(zip(plain.features.tolist(), plain.weights.tolist()))
+    totals = [plain.bias + sum(weight.get(g, 0.0) for g in own.tolist()) for own in sets]
+    assert np.allclose(toxicity.scores(plain, [t or "" for _, t in rows]), 1 / (1 + np.exp(-np.array(totals))))
+    # of an id with two texts one counts, whatever their order
+    pair = [(0, "vile red"), *rows]
+    models = [toxicity.fit(spark.createDataFrame(r, "doc_id long, text string"), labels, F.lit(True), **settings) for r in (pair, pair[::-1])]
+    assert models[0].weights.tolist() == models[1].weights.tolist() and models[0].bias == models[1].bias
+
+
 def test_quality_on_held_out_rows(spark):
     rows = held_out(spark, quality.quality, "quality")
     assert rows[rows.y == 1].predicted.mean() > 0.99 and rows[rows.y == 0].predicted.mean() < 0.05
