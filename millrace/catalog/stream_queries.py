@@ -14,7 +14,7 @@ from millrace.functions import logs as rx
 from millrace.functions import text
 from millrace.operators import hooks
 from millrace.session import scratch_path
-from millrace.streaming import sources, stages, status
+from millrace.streaming import keyed, sources, stages, status
 
 registry = Registry()
 add = registry.add
@@ -47,6 +47,21 @@ def stream_log_status(spark, folder):
     return status.latest_status(spark, f"{path}/status").drop("last_at")
 
 
+@add("k1_keyed_run_status", f"""
+{_STATUS} SELECT run_id, progress, last_loss, tot_epochs, max_loss, min_loss, n_epochs FROM (
+  SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY line_no DESC) AS rn FROM status) WHERE rn = 1""")
+def keyed_run_status(spark, folder):
+    """The same from keyed state over two batches of a restarted query; the middle third of all lines comes last."""
+    path = scratch_path(spark, "keyed")
+    logs = inputs.run_logs(spark, folder)
+    last = logs.agg(F.max("line_no")).first()[0]
+    middle = F.col("line_no").between(last // 3, last * 2 // 3)
+    for part in (logs.filter(~middle), logs.filter(middle)):
+        sources.publish(part, f"{path}/logs")
+        keyed.stream_run_events(sources.log_stream(spark, f"{path}/logs"), path).awaitTermination()
+    return keyed.newest_status(spark, path).drop("last_at")
+
+
 @add("b5_write_status_snapshot", f"""
 {_STATUS} SELECT run_id, max(line_no) AS last_line, arg_max(progress, line_no) AS progress FROM status GROUP BY run_id""")
 def write_status_snapshot(spark, folder):
