@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import unicodedata
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ from millrace.functions import logs as rx
 from millrace.functions import text
 from millrace.operators import hooks
 from millrace.session import scratch_path
-from millrace.streaming import keyed, sources, stages, status
+from millrace.streaming import keyed, sources, stages, status, tail
 
 registry = Registry()
 add = registry.add
@@ -102,6 +104,54 @@ def scan_log_stream(spark, folder):
     return counts.groupBy("run_id").agg(F.sum("n").alias("n_lines"), F.max("last_line").alias("last_line"))
 
 
+LINES_PER_FILE = 50_000
+
+
+def _append_lines(rows, folder, sizes):
+    """Append ``(file, text)`` rows; each file belongs to one task, which first cuts it back to its size before this step."""
+    def write(batches):
+        begun = set()
+        for batch in batches:
+            for name, group in batch.groupby("file"):
+                with open(f"{folder}/{name}", "ab") as file:
+                    if name not in begun:
+                        file.truncate(sizes.get(name, 0))
+                        begun.add(name)
+                    file.write("".join(f"{t}\n" for t in group["text"]).encode())
+        yield from ()
+
+    rows.repartition("file").sortWithinPartitions("file").mapInPandas(write, "file string").write.format("noop").mode("overwrite").save()
+
+
+@add("a8_tail_growing_logs", f"""
+WITH {inputs.SQL_LOGS} SELECT run_id, count(*) AS n_lines, max(line_no) AS last_line, md5(min(line)) AS first_digest FROM logs GROUP BY run_id""")
+def tail_growing_logs(spark, folder):
+    """The lines are appended to text files in thirds; the files grow once and are rotated once between runs of one stream."""
+    path = scratch_path(spark, "tail").removeprefix("file:")
+    logs = inputs.run_logs(spark, folder)
+    total, last = logs.agg(F.count(F.lit(1)), F.max("line_no")).first()
+    files = total // LINES_PER_FILE + 4
+    name = F.concat(F.lit("part-"), F.pmod(F.xxhash64("run_id", F.floor(F.col("line_no") / 1000)), F.lit(files)), F.lit(".log"))
+    os.makedirs(f"{path}/logs")
+    for chunk in range(CHUNKS):
+        grown = list(Path(f"{path}/logs").glob("part-*.log"))
+        if chunk == 2:
+            for file in grown:
+                file.rename(file.with_name(f"old-{file.name}"))
+            grown = []
+        low, high = last * chunk // CHUNKS, last * (chunk + 1) // CHUNKS
+        part = logs.filter((F.col("line_no") > (low if chunk else -1)) & (F.col("line_no") <= high))
+        _append_lines(part.select(name.alias("file"), F.concat_ws("\t", "run_id", "line_no", "line").alias("text")),
+                      f"{path}/logs", {f.name: f.stat().st_size for f in grown})
+        (tail.tail_stream(spark, f"{path}/logs").writeStream.format("parquet").option("path", f"{path}/rows")
+         .option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination())
+    fields = F.split("line", "\t", 3)
+    rows = spark.read.schema(tail.TAIL).parquet(f"{path}/rows").select(
+        fields[0].cast("long").alias("run_id"), fields[1].cast("long").alias("line_no"), fields[2].alias("line"))
+    return rows.groupBy("run_id").agg(F.count(F.lit(1)).alias("n_lines"), F.max("line_no").alias("last_line"),
+                                      F.md5(F.min("line")).alias("first_digest"))
+
+
 @add("k2_stream_heartbeat", f"""
 WITH {inputs.SQL_SOLVER},
 limited AS (SELECT *, last_value(max_iter IGNORE NULLS) OVER w AS lim FROM solver
