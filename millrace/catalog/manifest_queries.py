@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import os
 import zipfile
 
 import pandas as pd
@@ -13,6 +14,7 @@ from millrace.catalog.registry import Registry
 from millrace.functions import text
 from millrace.operators import manifests
 from millrace.session import materialize, scratch_path
+from millrace.sources import archives as by_seeking
 from millrace.sources import files as scans
 from millrace.sources import sinks
 
@@ -167,6 +169,47 @@ def read_listed_members(spark, folder):
     return scans.listed_members(packed, names).select("archive", "member", F.md5("content").alias("digest"))
 
 
+DOCUMENTS_PER_ARCHIVE = 250
+
+
+def _write_archives(folder):
+    """Tasks that write one archive per value of ``archive``; rows of an archive follow each other."""
+    def write(batches):
+        name = archive = None
+
+        def finish():
+            if archive is not None:
+                archive.close()
+                os.replace(f"{folder}/{name}.part{os.getpid()}", f"{folder}/{name}")
+
+        for batch in batches:
+            for target, key, source, body in zip(batch["archive"], batch["doc_id"], batch["source"], batch["text"], strict=True):
+                if target != name:
+                    finish()
+                    name, archive = target, zipfile.ZipFile(f"{folder}/{target}.part{os.getpid()}", "w", zipfile.ZIP_DEFLATED)
+                archive.writestr(f"{source}/{key}.txt", body)
+                archive.writestr(f"{source}/.{key}", "")
+        finish()
+        yield from ()
+
+    return write
+
+
+@add("a4_seek_archive_members", f"""
+SELECT 'a' || (doc_id // {DOCUMENTS_PER_ARCHIVE}) || '.zip' AS archive, source || '/' || doc_id || '.txt' AS member,
+  CAST(octet_length(encode(text)) AS BIGINT) AS size, md5(text) AS digest FROM documents""")
+def seek_archive_members(spark, folder):
+    """Documents are written into archives of some hundred; the members that are not empty are listed, then read by seeking."""
+    path = scratch_path(spark, "archives").removeprefix("file:")
+    os.makedirs(path)
+    name = F.concat(F.lit("a"), F.floor(F.col("doc_id") / DOCUMENTS_PER_ARCHIVE).cast("string"), F.lit(".zip"))
+    docs = table(spark, folder, "documents").select(name.alias("archive"), "doc_id", "source", "text")
+    (docs.repartition("archive").sortWithinPartitions("archive", "doc_id").mapInPandas(_write_archives(path), "archive string")
+     .write.format("noop").mode("overwrite").save())
+    found = by_seeking.read_members(by_seeking.archive_directory(spark, path).filter("size > 0"))
+    return found.select(F.substring_index("archive", "/", -1).alias("archive"), "member", "size", F.md5("content").alias("digest"))
+
+
 _MEMBERS = """
 members AS (
   SELECT p_partkey, CASE WHEN p_partkey % 17 = 0 THEN '.' ELSE '' END || p_brand || '/' || p_partkey

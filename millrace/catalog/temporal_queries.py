@@ -176,6 +176,24 @@ def interval_label_join(spark, folder):
     return temporal.interval_label_join(rows, intervals(spark, folder))
 
 
+@add("d11_overlapping_intervals", f"""
+WITH {_SENSOR},
+spans AS (
+  SELECT trip_id, ts - id % 5 * {6 * HOUR} AS start_ts, ts + (id % 13 + 1) * {12 * HOUR} AS end_ts, event_type AS cls
+  FROM sensor WHERE event_type IN ('signup', 'purchase', 'error'))
+SELECT s.trip_id, s.ts, s.id, coalesce(i.cls, 'paved_road') AS cls
+FROM sensor s LEFT JOIN spans i ON i.trip_id = s.trip_id AND s.ts BETWEEN i.start_ts AND i.end_ts
+WHERE s.event_type IN ('view', 'click')
+QUALIFY row_number() OVER (PARTITION BY s.id ORDER BY i.start_ts DESC, i.end_ts, i.cls DESC) = 1""")
+def overlapping_intervals(spark, folder):
+    """Every third kind of event holds its surroundings; such stretches nest and cross."""
+    events = sensor(spark, folder).select("trip_id", "ts", "id", "event_type")
+    spans = events.filter("event_type IN ('signup', 'purchase', 'error')").select(
+        "trip_id", (F.col("ts") - F.col("id") % 5 * (6 * HOUR)).alias("start_ts"),
+        (F.col("ts") + (F.col("id") % 13 + 1) * (12 * HOUR)).alias("end_ts"), F.col("event_type").alias("cls"))
+    return temporal.overlap_label_join(events.filter("event_type IN ('view', 'click')").drop("event_type"), spans)
+
+
 @add("d12_match_way_section", """
 WITH points AS (
   SELECT o_orderkey AS id, 45 + (o_orderkey % 100 + o_orderkey * 31 % 17 / 17.0::DOUBLE) * 0.001::DOUBLE AS lat,

@@ -174,6 +174,67 @@ def interval_label_join(
     return found.select("_row.*", F.coalesce(inside, F.lit(default)).alias("cls"))
 
 
+def interval_cover(intervals: DataFrame, keys: Sequence[str] = ("trip_id",), *, rows_per_task: int | None = None) -> DataFrame:
+    """Who holds each point of time, where intervals overlap: ``(ts, cls_at, cls_after)`` per key and interval end.
+
+    ``cls_at`` holds at the instant ``ts``, ``cls_after`` from there to the next ``ts``; null where no interval
+    is open. Of several open intervals the one begun last counts, of equal starts the one that ends first,
+    then the greatest ``cls``. Intervals without a start, an end or a key, or that end before they start, are left out.
+
+    The ends of a key are ranked. Each interval is cut into the few nodes of a binary tree over the ranks that it
+    covers as a whole, one winner is kept per node, and every rank looks up the winners of its ancestors:
+    no pair of intervals and no pair of interval and point is ever made.
+    """
+    keys = list(keys)
+    known = intervals.filter("start_ts <= end_ts")
+    for key in keys:
+        known = known.filter(F.col(key).isNotNull())
+    ends = known.select(*keys, F.explode(F.array("start_ts", "end_ts")).alias("ts")).distinct()
+    ranked = materialize(numbered(ends, keys, ["ts"], "_rank", rows_per_task=rows_per_task))
+    levels = (2 * (ranked.agg(F.max("_rank")).first()[0] or 0) + 2).bit_length()
+    # an end of rank r is position 2r, the open stretch after it 2r + 1
+    spans = lookup_join(known, ranked.select(*keys, F.col("ts").alias("start_ts"), (2 * F.col("_rank")).alias("_a")), [*keys, "start_ts"])
+    spans = lookup_join(spans, ranked.select(*keys, F.col("ts").alias("end_ts"), (2 * F.col("_rank") + 1).alias("_b")), [*keys, "end_ts"])
+    nodes = []
+    for k in range(levels):
+        low, high = F.shiftright(F.col("_a") + ((1 << k) - 1), k), F.shiftright("_b", k)
+        nodes += [F.when((low < high) & (low % 2 == 1), low * 64 + k), F.when((low < high) & (high % 2 == 1), (high - 1) * 64 + k)]
+    winner = F.struct("start_ts", (-F.col("end_ts")).alias("_end"), "cls")
+    held = materialize(spans.select(*keys, F.explode(F.array_compact(F.array(F.lit(None).cast("long"), *nodes))).alias("_node"), winner.alias("_w"))
+                       .groupBy(*keys, "_node").agg(F.max("_w").alias("_w")))
+    places = ranked.select(*keys, "ts", F.explode(F.array(F.lit(0), F.lit(1))).alias("_after"), "_rank")
+    above = F.array(*[F.shiftright(2 * F.col("_rank") + F.col("_after"), k) * 64 + k for k in range(levels)])
+    found = lookup_join(places.select(*keys, "ts", "_after", F.explode(above).alias("_node")), held, [*keys, "_node"], "left")
+    return found.groupBy(*keys, "ts").agg(
+        F.max(F.when(F.col("_after") == 0, F.col("_w")))["cls"].alias("cls_at"),
+        F.max(F.when(F.col("_after") == 1, F.col("_w")))["cls"].alias("cls_after"))
+
+
+def overlap_label_join(
+    rows: DataFrame, intervals: DataFrame, keys: Sequence[str] = ("trip_id",), *, ts: str = "ts", row_id: str = "id",
+    default: str = "paved_road", rows_per_task: int | None = None,
+) -> DataFrame:
+    """Add ``cls`` of the interval ``[start_ts, end_ts]`` that holds a row's time, else ``default``; intervals may nest and cross.
+
+    Precedence is that of :func:`interval_cover`; a row then only looks at the last interval end
+    before it, and a key with very many rows is cut. Rows without a key or a time get ``default``.
+    """
+    cover = materialize(interval_cover(intervals, keys, rows_per_task=rows_per_task))
+    state = F.struct("ts", "cls_at", "cls_after")
+    kind = cover.select(state.alias("s")).schema["s"].dataType
+    one = rows.select(
+        *keys, F.col(ts).alias("_t"), F.lit(1).alias("_side"), F.col(row_id).cast("string").alias("_id"),
+        F.struct(*rows.columns).alias("_row"), F.lit(None).cast(kind).alias("_state"))
+    two = cover.select(
+        *keys, F.col("ts").alias("_t"), F.lit(0).alias("_side"), F.lit("").alias("_id"),
+        F.lit(None).cast(one.schema["_row"].dataType).alias("_row"), state.alias("_state"))
+    found = running(
+        one.unionByName(two), keys, ["_t", "_side", "_id"], {"_open": Run("last", F.col("_state"))}, rows_per_task=rows_per_task,
+    ).filter(F.col("_side") == 1)
+    cls = F.when(F.col("_t") == F.col("_open.ts"), F.col("_open.cls_at")).otherwise(F.col("_open.cls_after"))
+    return found.select("_row.*", F.coalesce(cls, F.lit(default)).alias("cls"))
+
+
 def haversine(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     """Distance in metres."""
     dlat, dlon = F.radians(lat2 - lat1) / 2, F.radians(lon2 - lon1) / 2
