@@ -5,17 +5,17 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.images import rect_ratio
 from millrace.plans import lookup_join, numbered, top_n
-from millrace.session import materialize
+from millrace.session import materialize, scratch_path
 
 # Smallest box share, regions kept per class.
 MIN_RATIO = 0.04
 CLASS_CAP = 600
-MAX_CANDIDATES = 20_000_000
+FILES_PER_TASK = 500_000
 BOX = ("cls", "xmin", "ymin", "xmax", "ymax")
 
 
@@ -72,40 +72,84 @@ def remaining_files(files: DataFrame, removed: DataFrame, file: str = "file") ->
     return lookup_join(files, materialize(removed.select(file).distinct()), [file], "left_anti")
 
 
+def _read_in_order(files: DataFrame, seen: dict, cap: int, file: str) -> DataFrame:
+    """The kept files of one task, read in order after ``seen`` regions of each class were kept."""
+    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = dict(seen)
+        for batch in batches:
+            kept = []
+            for regions in batch["_r"]:
+                chosen = any(counts.get(r["c"], 0) < cap for r in regions)
+                if chosen:
+                    for r in regions:
+                        counts[r["c"]] = counts.get(r["c"], 0) + r["n"]
+                kept.append(chosen)
+            yield batch.loc[kept, [file]]
+
+    return files.repartition(1).sortWithinPartitions(file).mapInPandas(keep, files.select(file).schema)
+
+
 def cap_per_class_any(
-    rois: DataFrame, cap: int = CLASS_CAP, file: str = "file", cls: str = "cls"
+    rois: DataFrame, cap: int = CLASS_CAP, file: str = "file", cls: str = "cls", files_per_task: int = FILES_PER_TASK
 ) -> DataFrame:
     """Files kept, in file order, while any of their classes has fewer than ``cap`` kept regions.
 
     Every region of a kept file counts for its class. As long as a class is open,
     each file with it is kept and adds at least one region, so a file can only be
     kept for a class if it is among the first ``cap`` files of that class. These
-    files, at most ``cap`` per class, are found in parallel; only they go through
-    the ordered pass, which decides exactly as a single reader of all files would.
-    That pass is one task: more than MAX_CANDIDATES files in it are an error.
+    files, at most ``cap`` per class, are found in parallel and cut into ranges of about ``files_per_task``.
+
+    Between two closings of a class the decision is a plain filter: a file with an open class stays. Sums per
+    range and class tell the first range in which a class closes; the ranges before it are filtered, that one is
+    read in order by one task, and the rest goes on with fewer open classes. So there is at most one round
+    per class, and the decisions are those of a single reader of all files. The driver holds one number per class.
     """
-    counts = rois.groupBy(file, cls).agg(F.count(F.lit(1)).alias("_n"))
-    counts = materialize(counts)
+    counts = materialize(rois.groupBy(file, cls).agg(F.count(F.lit(1)).alias("_n")))
     names = materialize(top_n(counts, [cls], [file], cap).select(file).distinct())
-    if (n := names.count()) > MAX_CANDIDATES:
-        raise ValueError(f"{n} files compete for the places of their classes; at most {MAX_CANDIDATES} can be read in order")
     candidates = lookup_join(counts, names, [file], "left_semi")
-    per_file = candidates.groupBy(file).agg(F.collect_list(F.struct(F.col(cls).alias("c"), F.col("_n").alias("n"))).alias("_r"))
-
-    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: dict[str, int] = {}
-        for batch in batches:
-            kept = []
-            for regions in batch["_r"]:
-                chosen = any(seen.get(r["c"], 0) < cap for r in regions)
-                if chosen:
-                    for r in regions:
-                        seen[r["c"]] = seen.get(r["c"], 0) + r["n"]
-                kept.append(chosen)
-            yield batch.loc[kept, [file]]
-
-    schema = per_file.select(file).schema
-    return per_file.repartition(1).sortWithinPartitions(file).mapInPandas(keep, schema)
+    regions = F.collect_list(F.struct(F.col(cls).alias("c"), F.col("_n").alias("n"))).alias("_r")
+    per_file = candidates.groupBy(file).agg(regions)
+    ranges = -(-names.count() // files_per_task)
+    if ranges <= 1:
+        return _read_in_order(per_file, {}, cap, file)
+
+    spark = rois.sparkSession
+    placed = materialize(per_file.repartitionByRange(ranges, file).withColumn("_range", F.spark_partition_id()))
+    class_type = counts.select(F.col(cls).alias("c"), F.lit(0).cast("long").alias("seen")).schema
+    seen: dict = {}
+    pieces: list[str] = []
+
+    def store(kept: DataFrame) -> None:
+        """Write the next kept files and add their regions to what was seen."""
+        pieces.append(scratch_path(spark, "kept"))
+        kept.write.parquet(pieces[-1])
+        rows = spark.read.schema(placed.schema).parquet(pieces[-1]).select(F.explode("_r").alias("r"))
+        for row in rows.groupBy("r.c").agg(F.sum("r.n").alias("n")).collect():
+            seen[row["c"]] = seen.get(row["c"], 0) + row["n"]
+
+    begin = 0
+    while begin < ranges:
+        closed = [c for c, n in seen.items() if n >= cap]
+        is_closed = F.coalesce(F.col("c").isin([c for c in closed if c is not None]), F.lit(None in closed))
+        rest = placed.filter(F.col("_range") >= begin)
+        open_files = rest.select(file, F.explode("_r.c").alias("c")).filter(~is_closed).select(file).distinct()
+        live = materialize(lookup_join(rest, materialize(open_files), [file], "left_semi")) if closed else rest
+        sums = live.select("_range", F.explode("_r").alias("r")).groupBy("_range", F.col("r.c").alias("c")).agg(F.sum("r.n").alias("n"))
+        so_far = sums.filter(~is_closed).withColumn(
+            "_sum", F.sum("n").over(Window.partitionBy("c").orderBy("_range")))
+        before = spark.createDataFrame(list(seen.items()), class_type).withColumnRenamed("c", "_c")
+        closing = so_far.join(before, F.col("c").eqNullSafe(F.col("_c")), "left").filter(
+            F.col("_sum") + F.coalesce("seen", F.lit(0)) >= cap).agg(F.min("_range")).first()[0]
+        if closing is None:
+            store(live)
+            break
+        if closing > begin:
+            store(live.filter(F.col("_range") < closing))
+        here = live.filter(F.col("_range") == closing)
+        kept = materialize(_read_in_order(here, seen, cap, file))
+        store(here.join(kept, here[file].eqNullSafe(kept[file]), "left_semi"))
+        begin = closing + 1
+    return spark.read.schema(placed.schema).parquet(*pieces).select(file)
 
 
 def selection_report(files: DataFrame) -> DataFrame:
