@@ -277,28 +277,38 @@ def store_audio(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col:
 
 
 def media_features(media: DataFrame) -> DataFrame:
-    """Scan the media column: payload and media digests and a feature string per row of ``doc_id, n_bytes, media``."""
+    """Scan the media column: payload and media digests and a feature string per row of ``doc_id, n_bytes, media``.
+
+    ``error`` says why a row has no frames or no payload (null or foreign bytes, a payload without its checksum); else null.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for data in batch.column("media").to_pylist():
-                a = scan_audio(data)
+                try:
+                    a = None if data is None else scan_audio(data)
+                except ValueError as problem:  # its payload is not the one its tag describes
+                    rows.append((None, None, None, len(data), hashlib.sha256(data).hexdigest(), None, str(problem)))
+                    continue
+                if a is None:
+                    rows.append((None,) * 6 + ("no media",))
+                    continue
                 places = hashlib.sha256(",".join(map(str, a.offsets)).encode()).hexdigest()[:16]
                 feature = (f"frames={len(a.offsets)};samples={a.samples};hertz={a.hertz};checked={a.checked};wrong={a.wrong};"
-                           f"skipped={a.skipped};table={a.table_frames}:{a.table_bytes};sizes={min(a.sizes)}-{max(a.sizes)};"
-                           f"ms={a.tags.get('TLEN')};offsets={places}")
+                           f"skipped={a.skipped};table={a.table_frames}:{a.table_bytes};"
+                           f"sizes={min(a.sizes, default=0)}-{max(a.sizes, default=0)};ms={a.tags.get('TLEN')};offsets={places}")
                 rows.append((len(a.payload), hashlib.sha256(a.payload).hexdigest(), zlib.crc32(a.payload[-BLOCK:]), len(data),
-                             hashlib.sha256(data).hexdigest(), feature))
-            columns = list(zip(*rows)) if rows else [()] * 6
-            kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+                             hashlib.sha256(data).hexdigest(), feature, None if a.offsets else "no frames"))
+            columns = list(zip(*rows)) if rows else [()] * 7
+            kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("n_bytes"), *map(pa.array, columns, kinds)],
-                ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
+                ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "error"])
 
     return media.select("doc_id", "n_bytes", "media").mapInArrow(
         read, f"doc_id {id_type(media, 'doc_id')}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, "
-        "media_bytes long, media_sha256 string, feature string")
+        "media_bytes long, media_sha256 string, feature string, error string")
 
 
 def audio_columns(docs: DataFrame, **columns: str) -> DataFrame:

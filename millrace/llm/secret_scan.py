@@ -31,17 +31,18 @@ HARMLESS = frozenset("example sample changeme placeholder test dummy none null t
 
 # Every repetition is possessive, and a name without an assignment is taken whole: time is linear in long names and blanks.
 NAME = r"[A-Za-z_$][\w$]*+(?:[.\-][A-Za-z_$][\w$]*+)*+"
-QUOTED = r""" "[^"\\\n]*+(?:\\.[^"\\\n]*+)*+" | '[^'\\\n]*+(?:\\.[^'\\\n]*+)*+' """
+PREFIX = r"""(?:[rbfuRBFU]{1,2}(?=["']))?+"""  # of string literals
+QUOTED = PREFIX + r"""(?: "[^"\\\n]*+(?:\\.[^"\\\n]*+)*+" | '[^'\\\n]*+(?:\\.[^'\\\n]*+)*+' )"""
 LEXEME = re.compile(rf"""(?ax)
     (?P<comment> (?:^|(?<=\s))(?:\#|//) )
-  | (?P<name> {NAME} | "{NAME}"(?=\s*+[:=]) | '{NAME}'(?=\s*+[:=]) )
-    [^\S\n]*+ (?: :\s*+[A-Za-z_][\w\[\]]*+ [^\S\n]*+ (?==) )? (?P<sign> :=|=>|=(?!=)|:(?!:) ) [^\S\n]*+
+  | (?P<name> {NAME} | "{NAME}"(?=\]?+\s*+[:=?]) | '{NAME}'(?=\]?+\s*+[:=?]) )
+    (?:(?<=["'])\])?+ [^\S\n]*+ (?: :\s*+[A-Za-z_][\w\[\]]*+ [^\S\n]*+ (?==) )? (?P<sign> :=|\?=|=>|=(?!=)|:(?!:) ) [^\S\n]*+
     (?P<value> (?: {QUOTED} | `[^`\n]*+` | {NAME} (?=\s*(?:[;,)\n+]|$)) | [^\s"'`,;(){{}}\[\]]++ (?![(\[]) )
       (?: [^\S\n]*+ \+ [^\S\n]*+ (?: {QUOTED} | {NAME} ) )*+ )
   | {NAME}
 """)
 OPERAND = re.compile(
-    rf"""(?a)"([^"\\]*+(?:\\.[^"\\]*+)*+)"|'([^'\\]*+(?:\\.[^'\\]*+)*+)'|`([^`]*+)`|({NAME})(?![^\s+])|([^\s+]+)""")
+    rf"""(?a){PREFIX}(?:"([^"\\]*+(?:\\.[^"\\]*+)*+)"|'([^'\\]*+(?:\\.[^'\\]*+)*+)')|`([^`]*+)`|({NAME})(?![^\s+])|([^\s+]+)""")
 PHRASE = re.compile(r"[A-Za-z]+(?:[._-][A-Za-z]+)+")
 PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 
