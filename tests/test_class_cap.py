@@ -19,7 +19,7 @@ def one_reader(rows, cap):
     return kept
 
 
-@pytest.mark.parametrize("cap,files_per_task", [(8, 20), (10_000, 150)])
+@pytest.mark.parametrize("cap,files_per_task", [(8, 20), (40, 60), (10_000, 150)])
 def test_rounds_equal_one_reader(spark, cap, files_per_task):
     """A class that nearly every file has, rare ones, one of a single file and a null one; several close in one range."""
     draw = random.Random(cap)
