@@ -1,7 +1,7 @@
 """Language identification by interpolated Kneser-Ney character models, one per language.
 
 The models see words: maximal runs of letters, lower-cased, padded at the start and closed by an end mark.
-Counts of all learned texts are gathered by Spark; each language's model is estimated from its kept n-grams
+Counts of all learned texts are gathered by Spark; each language's model is estimated from all its n-grams
 and stored as two sorted arrays of 64-bit hashes, one of n-grams with their log probabilities and one of
 contexts with the logarithms of what they leave to shorter ones. A text belongs to the language with the
 lowest cross-entropy per letter. A part of the learned texts is not counted but calibrates the score and
@@ -20,6 +20,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,8 +29,6 @@ from millrace.llm.labelled import id_remainder
 from millrace.session import materialize
 
 ORDER = 5
-#: All languages together keep at most so many n-grams of the highest order: those above a common share of their texts.
-MOST_GRAMS = 2_000_000
 CALIBRATION_PARTS = 16
 HELD_WORDS = 200_000
 WORD = re.compile(r"[^\W\d_]+")
@@ -108,14 +107,13 @@ def _discount(once: float, twice: float) -> float:
     return once / (once + 2 * twice) if once and twice else 0.75
 
 
-def estimate(grams: list[str], counts: np.ndarray, totals: np.ndarray, discount: float) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+def estimate(grams: str, order: int, counts: np.ndarray, totals: np.ndarray, discount: float) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
     """Hashes and log probabilities of n-grams of all orders, hashes and log backoff weights of their contexts.
 
-    ``totals``: of each n-gram's context, n-grams that were not kept included; what those had goes to shorter contexts.
+    ``grams``: the n-grams of the highest order, one after another. ``totals``: of each n-gram's context, n-grams that were not kept included; what those had goes to shorter contexts.
     Shorter n-grams count the different characters before them, as Kneser-Ney has it.
     """
-    order = len(grams[0])
-    points = np.frombuffer("".join(grams).encode("utf-32-le"), np.uint32).reshape(-1, order)
+    points = np.frombuffer(grams.encode("utf-32-le"), np.uint32).reshape(-1, order)
     levels = []
     numbers = counts.astype(np.float64)
     for k in range(order, 0, -1):
@@ -289,14 +287,14 @@ def identify(docs: DataFrame, models: Models, *, id_col: str = "doc_id", text_co
                  "lead double, rejected boolean")
 
 
-def estimate_models(counts: DataFrame, *, order: int = ORDER, most_grams: int = MOST_GRAMS) -> Models:
-    """Models from stored counts (``lang, gram, n``). A language keeps the n-grams that make up more than its
-    share of ``1 / most_grams`` of all its counts, which bounds what is sent to the tasks at any size of the corpus."""
+def estimate_models(counts: DataFrame, *, order: int = ORDER, most_grams: int | None = None) -> Models:
+    """Models from stored counts (``lang, gram, n``), of all n-grams. With ``most_grams`` a language keeps only those that
+    make up more than its share of ``1 / most_grams`` of all its counts."""
     totals = counts.groupBy("lang").agg(
         F.sum("n").alias("total"), F.count_if(F.col("n") == 1).alias("once"), F.count_if(F.col("n") == 2).alias("twice"))
     sizes = {r.lang: r for r in totals.collect()}
     least = counts.sparkSession.createDataFrame(
-        [(lang, max(1, math.ceil(r.total * len(sizes) / most_grams))) for lang, r in sizes.items()], "lang string, least long")
+        [(lang, 1 if most_grams is None else max(1, math.ceil(r.total * len(sizes) / most_grams))) for lang, r in sizes.items()], "lang string, least long")
     context = F.substring("gram", 1, order - 1).alias("context")
     whole = counts.groupBy("lang", context).agg(F.sum("n").alias("total"))
     kept = counts.join(F.broadcast(least), "lang").filter("n >= least").select("lang", "gram", "n", context).join(whole, ["lang", "context"])
@@ -304,21 +302,22 @@ def estimate_models(counts: DataFrame, *, order: int = ORDER, most_grams: int =
 
     def fit(table: pa.Table) -> pa.Table:
         lang = table.column("lang")[0].as_py()
-        found = estimate(table.column("gram").to_pylist(), table.column("n").to_numpy(), table.column("total").to_numpy(), discounts[lang])
+        text = "".join("".join(b.column("gram").to_pylist()) for b in table.to_batches(max_chunksize=100_000))
+        found = estimate(text, order, table.column("n").to_numpy(), table.column("total").to_numpy(), discounts[lang])
         return pa.concat_tables([pa.table({
             "lang": pa.array([lang] * len(keys), pa.string()), "context": pa.array([bool(i)] * len(keys)),
-            "key": pa.array(keys.view(np.int64)), "value": pa.array(values)}) for i, (keys, values) in enumerate(found)])
+            "key": pa.array(keys.view(np.int64)), "value": pa.array(values.astype(np.float32))}) for i, (keys, values) in enumerate(found)])
 
-    rows = kept.groupBy("lang").applyInArrow(fit, "lang string, context boolean, key long, value double").toArrow()
-    languages = sorted(set(rows.column("lang").to_pylist()))
-    names, is_context = np.array(rows.column("lang").to_pylist(), object), rows.column("context").to_numpy()
-    keys, values = rows.column("key").to_numpy().view(np.uint64), rows.column("value").to_numpy()
+    rows = kept.groupBy("lang").applyInArrow(fit, "lang string, context boolean, key long, value float").toArrow()
+    languages = sorted(pc.unique(rows["lang"]).to_pylist())
     grams, contexts = [], []
     for lang in languages:
+        of_lang = rows.filter(pc.equal(rows["lang"], lang))
         for flag, out in ((False, grams), (True, contexts)):
-            own = np.flatnonzero((names == lang) & (is_context == flag))
-            own = own[np.argsort(keys[own], kind="stable")]
-            out.append((keys[own], values[own].astype(np.float32)))
+            own = of_lang.filter(pc.equal(of_lang["context"], flag))
+            keys = own["key"].to_numpy().view(np.uint64)
+            at = np.argsort(keys, kind="stable")
+            out.append((keys[at], own["value"].to_numpy()[at]))
     return Models(languages, grams, contexts, order)
 
 
@@ -342,7 +341,7 @@ def logistic(lead: np.ndarray, right: np.ndarray, wrong: np.ndarray) -> tuple[fl
     return (max(float(b[0]), 0.0), float(b[1]))
 
 
-def learn(docs: DataFrame, learned: Column, *, order: int = ORDER, most_grams: int = MOST_GRAMS, accepted: float = 0.995) -> Models:
+def learn(docs: DataFrame, learned: Column, *, order: int = ORDER, most_grams: int | None = None, accepted: float = 0.995) -> Models:
     """Models of the languages of all learned rows (``doc_id, text, lang``), calibrated on the part of their texts that is not counted.
 
     Rows without a language or an id are not learned from. ``accepted``: the share of calibration texts of a language

@@ -132,3 +132,11 @@ def test_foreign_texts_are_rejected(spark):
     own = language_id.identify(docs, models).collect()
     assert sum(r.rejected for r in own) <= 0.03 * len(own)
     assert sum(r.score > 0.8 for r in own) > 0.9 * len(own)
+
+
+def test_rare_grams_stay_however_much_else_is_counted(spark):
+    rows = [("xx", "abcde", 10_000_000), ("xx", "vwxyz", 1), ("yy", "fghij", 3)]
+    models = language_id.estimate_models(spark.createDataFrame(rows, "lang string, gram string, n long"))
+    for (keys, _), grams in zip(models.grams, (["abcde", "vwxyz"], ["fghij"])):
+        points = np.frombuffer("".join(grams).encode("utf-32-le"), np.uint32).reshape(-1, 5)
+        assert np.isin(language_id.gram_hashes(points), keys).all()
