@@ -403,7 +403,7 @@ def sample_per_length(texts: DataFrame, n: int, limit: int = 16, text: str = "te
     """``n`` texts of each length from 2 to ``limit``, chosen by hash of the key."""
     sized = texts.withColumn("n_chars", F.char_length(text)).filter(F.col("n_chars").between(2, limit))
     drawn = sized.withColumn("_draw", hash32(seed, F.col(key)))
-    return top_n(drawn, ["n_chars"], ["_draw", key], n).drop("_draw")
+    return top_n(drawn, ["n_chars"], ["_draw", key], n, few_keys=True).drop("_draw")
 
 
 def balance_negatives(rows: DataFrame, factor: float, label: str = "label", key: str = "id", seed: object = 0) -> DataFrame:

@@ -264,6 +264,20 @@ def rolling(
     )
 
 
+def _within_limits(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
+    """The rows up to the ``n``-th of the least values of ``order[0]`` in hash classes of the rows; all rows of a key
+    with fewer classes. At least ``n`` rows of a key lie within its limit."""
+    first = F.col(order[0])
+    classes = F.pmod(F.xxhash64(*order), F.lit(8 * n)).alias("_class")
+    least = df.groupBy(*keys, classes).agg(F.min(first).alias("_least"))
+    limits = least.groupBy(*keys).agg(F.try_element_at(F.array_sort(F.collect_list("_least")), F.lit(n)).alias("_limit"))
+    rows = limits.filter("_limit IS NOT NULL").collect()
+    if not rows:
+        return df
+    known = _join_small(df, df.sparkSession.createDataFrame(rows, limits.schema), keys, "left")
+    return known.filter(F.col("_limit").isNull() | first.isNull() | (first <= F.col("_limit"))).drop("_limit")
+
+
 def top_n(
     df: DataFrame,
     keys: Sequence[str],
@@ -272,9 +286,13 @@ def top_n(
     *,
     salts: int = 64,
     rank: str | None = None,
+    few_keys: bool = False,
 ) -> DataFrame:
     """The first ``n`` rows per key in ascending ``order``, without any hot task.
 
+    ``few_keys``: the keys are few and have very many rows, and the first order column is a number. Then a first pass
+    finds a limit per key that its first ``n`` rows do not exceed, and only rows within it are sorted and shuffled.
+
     For small ``n`` every key is first reduced within hash salts (Spark also limits
     each map task ahead of the shuffle) and then across them. A large ``n`` is
     answered by exact row numbers instead.
@@ -284,6 +302,8 @@ def top_n(
     if n > 1000:
         out = numbered(df, keys, order, name).filter(F.col(name) <= n)
     else:
+        if few_keys:
+            df = _within_limits(df, keys, order, n)
         salt = F.pmod(F.xxhash64(*order), F.lit(salts)).alias("_salt")
         inner = Window.partitionBy(*keys, "_salt").orderBy(*order)
         outer = Window.partitionBy(*keys).orderBy(*order)
