@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.plans.widths import row_width
+from millrace.session import materialize
 
 BROADCAST_BYTES = 64 << 20
 ROWS_PER_TASK = 4_000_000
 BYTES_PER_TASK = 1 << 30
 MAX_HOT_KEYS = 32_768
+SAMPLED_ROWS = 10_000
+PART_BYTES = 64 << 20
 
 
 def broadcastable(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -20,8 +23,12 @@ def broadcastable(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
 
     Give it a stored table or a checkpointed result: the measurement reads it once.
     """
-    size = df.agg(F.sum(row_width(df))).first()[0] or 0
-    return size <= max_bytes
+    return measured_bytes(df) <= max_bytes
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """About the bytes of all rows in memory, counted."""
+    return df.agg(F.sum(row_width(df))).first()[0] or 0
 
 
 def lookup_join(
@@ -42,19 +49,28 @@ def lookup_join(
     be inner, left, left_semi or left_anti; the result is the same either way.
     """
     keys = list(keys)
-    if broadcastable(lookup, max_bytes):
+    looked_up = measured_bytes(lookup)
+    if looked_up <= max_bytes:
         return large.join(F.broadcast(lookup), keys, how)
-    hot, many_null = _hot_keys(large, keys, rows_per_task, bytes_per_task)
+    hot, many_null, size = _hot_keys(large, keys, rows_per_task, bytes_per_task)
+    parts = max(large.sparkSession.sparkContext.defaultParallelism, -(-(size + looked_up) // PART_BYTES))
+
+    def shuffled(left: DataFrame, right: DataFrame) -> DataFrame:
+        # so many parts that what a task sorts does not grow with the tables; parts of a given number are not merged again
+        if all(left.schema[k].dataType == right.schema[k].dataType for k in keys):
+            left, right = left.repartition(parts, *keys), right.repartition(parts, *keys)
+        return left.join(right, keys, how)
+
     if hot is None and not many_null:
-        return large.join(lookup, keys, how)
+        return shuffled(large, lookup)
     some = F.lit(True)
     for key in keys:
         some = some & F.col(f"`{key}`").isNotNull()
     known = large.filter(some)
-    out = known.join(lookup, keys, how)
+    out = shuffled(known, lookup)
     if hot is not None:
         # a broadcast of at most MAX_HOT_KEYS rows
-        out = known.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(lookup, keys, how)
+        out = shuffled(known.join(F.broadcast(hot.select(*keys)), keys, "left_anti"), lookup)
         # by content, so that a repeated task deals the same; the partition id separates rows that are copies of each other
         content = [F.col(f"`{f.name}`") for f in large.schema.fields if "map<" not in f.dataType.simpleString()]
         deal = F.pmod(F.xxhash64(F.spark_partition_id(), *content), F.col("_parts")).cast("int")
@@ -68,11 +84,21 @@ def lookup_join(
     return out
 
 
-def _hot_keys(df: DataFrame, keys: list[str], rows_per_task: int, bytes_per_task: int) -> tuple[DataFrame | None, bool]:
-    """``keys, _parts`` of the keys too large for a task, at most MAX_HOT_KEYS, or None; and whether null keys are too many."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum(row_width(df)).alias("_b"))
+def _hot_keys(df: DataFrame, keys: list[str], rows_per_task: int, bytes_per_task: int) -> tuple[DataFrame | None, bool, int]:
+    """``keys, _parts`` of the keys too large for a task, at most MAX_HOT_KEYS, or None; whether null keys are too many; and
+    about the bytes of all rows.
+
+    Of short rows every so many are counted, by their places, so that the counts stay small where hardly any key repeats.
+    This decides where rows are joined, never the result.
+    """
+    stride = max(1, rows_per_task // SAMPLED_ROWS)
+    width, place = row_width(df), F.xxhash64(F.monotonically_increasing_id())
+    weighed = df.select(*keys, width.alias("_w"), place.alias("_place")).withColumn(
+        "_each", F.when(F.col("_w") * SAMPLED_ROWS > bytes_per_task, 1).otherwise(stride)).filter(F.pmod("_place", "_each") == 0)
+    counts = materialize(weighed.groupBy(*keys).agg(F.sum("_each").alias("_n"), F.sum(F.col("_w") * F.col("_each")).alias("_b")))
     share = F.greatest(F.col("_n") / F.lit(rows_per_task), F.col("_b") / F.lit(bytes_per_task))
     hot = counts.filter(share > 1).select(*keys, F.ceil(share).cast("int").alias("_parts"))
     rows = hot.orderBy(F.desc("_parts")).limit(MAX_HOT_KEYS).collect()
     full = [r for r in rows if all(r[k] is not None for k in keys)]
-    return df.sparkSession.createDataFrame(full, hot.schema) if full else None, len(full) < len(rows)
+    size = counts.agg(F.sum("_b")).first()[0] or 0
+    return df.sparkSession.createDataFrame(full, hot.schema) if full else None, len(full) < len(rows), size
