@@ -25,6 +25,7 @@ from millrace.operators.runlogs import parse_losses
 BLOCK_LINES = 1_000_000
 IDLE_MS = 60_000
 KEEP_MS = 3_600_000
+MARKS_PER_CALL = 100_000
 PROVIDER = ("spark.sql.streaming.stateStore.providerClass",
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
@@ -105,17 +106,18 @@ class _BlockStep(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.summary = handle.getValueState("summary", BLOCK, self.keep)
-        self.marks = handle.getMapState("marks", "line_no long", MARK, self.keep)
+        # a list takes all new lines of a batch in few calls, a map needs one call per line
+        self.marks = handle.getListState("marks", f"line_no long, {MARK}", self.keep)
 
     def _again(self, last_line: int, last_at: int | None) -> Block:
         """The summary of all kept lines, which come in no order: the last mark first, then what stands before it."""
         mark = progress = None
-        for (line,), (_, _, percent) in self.marks.iterator():
+        for line, _, _, percent in self.marks.get():
             if percent is not None and (mark is None or line > mark):
                 mark, progress = line, percent
         ends = {True: (None, None, None), False: (None, None, None)}
         out = Block(last_line, last_at, mark, progress)
-        for (line,), (loss, step, _) in self.marks.iterator():
+        for line, loss, step, _ in self.marks.get():
             if loss is None:
                 continue
             if ends[False][0] is None or line > ends[False][0]:
@@ -129,7 +131,9 @@ class _BlockStep(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         known = Block(*self.summary.get()) if self.summary.exists() else None
-        late, ended = False, False
+        new: list[tuple] = []
+        late: list[tuple] = []
+        ended = False
         for batch in rows:
             batch = batch.sort_values("line_no")
             for line, at, loss, step, percent, end in zip(
@@ -138,17 +142,23 @@ class _BlockStep(StatefulProcessor):
                 ended |= end is not None and bool(end)
                 says = loss is not None or percent is not None
                 if known is not None and line <= known.last_line:
-                    if says and not self.marks.containsKey((line,)):
-                        late = True
-                        self.marks.updateValue((line,), (loss, step, percent))
+                    if says:
+                        late.append((line, loss, step, percent))
                     known = known._replace(last_at=_pick(max, known.last_at, at))
                     continue
                 if says:
-                    self.marks.updateValue((line,), (loss, step, percent))
+                    new.append((line, loss, step, percent))
                 one = of_line(line, at, loss, step, percent)
                 known = one if known is None else follow(known, one)
         if known is None:
             return
+        if late:  # a line that is kept already counts once
+            kept = {mark[0] for mark in self.marks.get()} | {mark[0] for mark in new}
+            first = {mark[0]: mark for mark in reversed(late) if mark[0] not in kept}
+            late = list(first.values())
+        new += late
+        for at in range(0, len(new), MARKS_PER_CALL):
+            self.marks.appendList(new[at : at + MARKS_PER_CALL])
         if late:
             known = self._again(known.last_line, known.last_at)
         self.summary.update(tuple(known))
