@@ -110,6 +110,26 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     system.delete(place, True)
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _shuffle_files_removed(spark: SparkSession) -> Iterator[None]:
+    """What a write inside the block shuffles is removed when it ends, not when the driver happens to collect its garbage.
+
+    For results that are read from files: jobs of many steps else hold the shuffle files of all of them.
+    """
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Compute once into a table in the shared folder, so that the result outlives its executors.
 
@@ -119,5 +139,6 @@ def materialize(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession, "stage")
     if _scopes:
         _scopes[-1].append(path)
-    df.write.parquet(path)
+    with _shuffle_files_removed(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

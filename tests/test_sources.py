@@ -2,6 +2,7 @@ import io
 import zipfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.session import materialize, scratch_path
 from millrace.sources import files, sinks
@@ -97,3 +98,15 @@ def test_materialize_keeps_rows_and_schema(spark):
     df = spark.range(3).selectExpr("id", "array(id) AS a", "named_struct('x', id) AS s")
     kept = materialize(df)
     assert kept.schema.simpleString() == df.schema.simpleString() and kept.count() == 3
+
+
+def test_materialize_leaves_no_shuffle_files(spark):
+    def shuffled():
+        return spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(",").count("shuffle_")
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = shuffled(), spark.conf.get(name, None)
+    kept = materialize(spark.range(0, 50_000, 1, 4).repartition(5, "id").groupBy((F.col("id") % 7).alias("k")).count())
+    assert shuffled() <= before
+    assert spark.conf.get(name, None) == setting
+    assert kept.count() == 7 and kept.agg(F.sum("count")).first()[0] == 50_000
