@@ -116,17 +116,21 @@ def token_ids(vocab: DataFrame) -> DataFrame:
 
 
 def _map_lists(
-    df: DataFrame, columns: Mapping[str, str], names: pa.Array, values: pa.Array, default: object, kind: T.DataType
+    df: DataFrame, columns: Mapping[str, str], names: pa.Array, values: pa.Array, default: object, kind: T.DataType, keep: bool
 ) -> DataFrame:
-    """Look up every element of array columns in Arrow batches; no row leaves its partition."""
+    """Look up every element of array columns in Arrow batches; no row leaves its partition. Without ``keep`` the
+    looked-up columns do not come back from the batches."""
     table = df.sparkSession.sparkContext.broadcast((names, values))
-    schema = T.StructType([*df.schema.fields, *[T.StructField(out, T.ArrayType(kind)) for out in columns.values()]])
+    rest = [f for f in df.schema.fields if keep or f.name not in columns]
+    stay = [f.name for f in rest]
+    schema = T.StructType([*rest, *[T.StructField(out, T.ArrayType(kind)) for out in columns.values()]])
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, found = table.value
         index = pd.Index(known.to_pandas())  # its hash table is built once per task
         for batch in batches:
-            arrays, fields = list(batch.columns), list(batch.schema.names)
+            fields = list(batch.schema.names)
+            arrays = [batch.column(fields.index(name)) for name in stay]
             for source, out in columns.items():
                 lists = batch.column(fields.index(source))
                 lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
@@ -139,19 +143,19 @@ def _map_lists(
                 ends = pc.cumulative_sum(sizes).cast(pa.int32())
                 offsets = pa.concat_arrays([pa.array([0], pa.int32()), ends])
                 arrays.append(pa.ListArray.from_arrays(offsets, items, mask=lists.is_null()))
-            yield pa.RecordBatch.from_arrays(arrays, names=[*fields, *columns.values()])
+            yield pa.RecordBatch.from_arrays(arrays, names=[*stay, *columns.values()])
 
     return df.mapInArrow(look_up, schema)
 
 
 def _mapped(
-    df: DataFrame, lookup: DataFrame, key: str, value: str, columns: Mapping[str, str], default: object
+    df: DataFrame, lookup: DataFrame, key: str, value: str, columns: Mapping[str, str], default: object, keep: bool = True
 ) -> DataFrame:
     kind = lookup.schema[value].dataType
     if broadcastable(lookup):
         rows = lookup.select(key, value).toArrow().combine_chunks()  # measured just above
         first = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in rows.columns]
-        return _map_lists(df, columns, first[0], first[1], default, kind)
+        return _map_lists(df, columns, first[0], first[1], default, kind, keep)
     out = df
     for source, target in columns.items():
         row_id = F.monotonically_increasing_id()
@@ -168,11 +172,12 @@ def _mapped(
         out = (
             out.join(lists, "_row", "left").withColumn(target, F.coalesce(F.col(target), empty)).drop("_row")
         )
-    return out
+    return out if keep else out.drop(*columns)
 
 
-def encode_tokens(df: DataFrame, vocab: DataFrame, columns: Mapping[str, str], unknown: str) -> DataFrame:
-    """Add id arrays for token arrays (``{source: target}``); unknown tokens get the unknown token's id.
+def encode_tokens(df: DataFrame, vocab: DataFrame, columns: Mapping[str, str], unknown: str, *, keep: bool = True) -> DataFrame:
+    """Add id arrays for token arrays (``{source: target}``); unknown tokens get the unknown token's id. Without
+    ``keep`` the token arrays go.
 
     A vocabulary measured to fit a broadcast is looked up inside Arrow batches,
     without moving the corpus. A larger one is joined token by token, salted.
@@ -182,7 +187,7 @@ def encode_tokens(df: DataFrame, vocab: DataFrame, columns: Mapping[str, str], u
     row = ids.filter(F.col("token") == unknown).first()
     if row is None:
         raise ValueError(f"the unknown token {unknown!r} is not in the vocabulary")
-    return _mapped(df, ids, "token", "id", columns, row["id"])
+    return _mapped(df, ids, "token", "id", columns, row["id"], keep)
 
 
 def decode_ids(df: DataFrame, vocab: DataFrame, columns: Mapping[str, str]) -> DataFrame:
@@ -297,10 +302,9 @@ def noise_bigrams(
 
 def encode_pairs(df: DataFrame, vocab: DataFrame, unknown: str) -> DataFrame:
     """Ids for the token arrays ``source`` and ``target``, EOS after the target."""
-    ids = encode_tokens(df, vocab, {"source": "_source", "target": "_target"}, unknown)
+    ids = encode_tokens(df, vocab, {"source": "_source", "target": "_target"}, unknown, keep=False)
     return (
-        ids.drop("source", "target")
-        .withColumnRenamed("_source", "source")
+        ids.withColumnRenamed("_source", "source")
         .withColumn("target", F.array_append("_target", F.lit(EOS_ID)))
         .drop("_target")
     )

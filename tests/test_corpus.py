@@ -118,3 +118,16 @@ def test_a_reader_makes_any_number_of_pairs(spark):
     assert hooks.read_many_samples(df.limit(0), read).columns == ["id", "source", "target"]
     many = spark.createDataFrame([(1, "w " * 3000)], "id long, line string")
     assert hooks.read_many_samples(many, lambda line: ((["s"], [w]) for w in line.split())).count() == 3000
+
+
+def test_encoded_pairs_leave_their_tokens_behind(spark, monkeypatch):
+    rows = [(1, ["a", "b"], ["a", "x"]), (2, [], ["b"]), (None, None, None), (4, ["x", None], [])]
+    pairs = spark.createDataFrame(rows, "doc_id long, source array<string>, target array<string>")
+    vocab = spark.createDataFrame([("UNK", 3), ("a", 4), ("b", 5)], "token string, id int")
+    seen = []
+    monkeypatch.setattr(corpus, "_map_lists", lambda *a, own=corpus._map_lists: seen.append(own(*a)) or seen[-1])
+    got = corpus.encode_pairs(pairs, vocab, "UNK")
+    assert got.columns == ["doc_id", "source", "target"]
+    assert {r.doc_id: (r.source, r.target) for r in got.collect()} == {
+        1: ([4, 5], [4, 3, 2]), 2: ([], [5, 2]), None: (None, None), 4: ([3, 3], [2])}
+    assert [f.dataType.simpleString() for f in seen[0].schema.fields] == ["bigint", "array<int>", "array<int>"]
