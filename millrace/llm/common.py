@@ -33,9 +33,9 @@ class WordTable(dict):
     """Word to value, computed at first sight. Words seen once wait in a small table of their own, those seen
     again are kept in this one; either is emptied when it is full, so the size is bounded."""
 
-    def __init__(self, make: Callable[[str], object], limit: int = 250_000, longest: int = 48) -> None:
+    def __init__(self, make: Callable[[str], object], limit: int = 250_000, longest: int = 48, new_limit: int | None = None) -> None:
         super().__init__()
-        self.make, self.limit, self.longest = make, limit, longest
+        self.make, self.limit, self.longest, self.new_limit = make, limit, longest, new_limit or limit // 3
         self.new: dict[str, object] = {}
 
     def __missing__(self, word: str) -> object:
@@ -47,7 +47,7 @@ class WordTable(dict):
             return value
         value = self.make(word)
         if len(word) <= self.longest:
-            if len(self.new) >= self.limit // 3:
+            if len(self.new) >= self.new_limit:
                 self.new.clear()
             self.new[word] = value
         return value

@@ -13,7 +13,7 @@ from llm.conftest import texts_of
 from tokenizers import Tokenizer
 
 from millrace.llm import attribution, bpe, packing, token_files
-from millrace.llm.tokens import text_encoder, vocabulary_path
+from millrace.llm.tokens import TextEncoder, text_encoder, vocabulary_path
 
 BYTES, WORDS = vocabulary_path("byte_bpe_50k.json"), vocabulary_path("word_bpe_49k.json")
 
@@ -186,3 +186,22 @@ def test_fields_share_one_encoding(spark):
     assert sum(r.n_tokens for r in rows if r.doc_id == 2) == 1  # the line feed between two empty fields
     with pytest.raises(ValueError):
         attribution.section_tokens(docs, rule="middle")
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_encoder_cuts_white_space_as_library(path):
+    encode, own, rng = library(path), text_encoder(path), random.Random(11)
+    parts = ["a", "B", "é", "'s", "1", "½", " ", " ", "\n", "\n", "\t", "\r", "\x85", "\u00a0", ".", ",", "_", "don't", "\x1c"]
+    for _ in range(8000):
+        text = "".join(rng.choices(parts, k=rng.randint(0, 9)))
+        assert own.encode(text) == as_bytes(encode(text).ids), repr(text)
+
+
+def test_encoder_keeps_pieces_between_spaces():
+    own = TextEncoder(BYTES)
+    cut, own.words = [], lambda text, words=own.words: cut.append(text) or words(text)
+    text = "some words stand here, and some words come again.\nsome words end"
+    expected = own.encode(text)
+    cut.clear()
+    assert own.encode(text) == expected == as_bytes(library(BYTES)(text).ids)
+    assert cut == ["some"]  # all pieces but the first are known
