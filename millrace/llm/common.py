@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import sys
 import types
@@ -11,22 +12,52 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 CHUNK_CHARS = 2_000_000
 BATCH_BYTES = 8 << 20
 
 
-def worker_cache(key: tuple, make: Callable[[], object]) -> object:
-    """An object that lives as long as its Python worker, so that later tasks need not build it again.
+def _worker_store() -> tuple[dict, dict]:
+    """Objects of this Python worker by key, and the stage that last asked for each.
 
     Functions travel to the workers by value and bring fresh globals with them; a module
-    entry of the process does not. Everything kept here has a bounded size.
+    entry of the process does not.
+    """
+    module = sys.modules.setdefault("_millrace_llm_worker", types.ModuleType("_millrace_llm_worker"))
+    return module.__dict__.setdefault("kept", {}), module.__dict__.setdefault("stages", {})
+
+
+def _stage() -> int | None:
+    task = TaskContext.get()
+    return task.stageId() if task else None
+
+
+def drop_other_stages() -> None:
+    """Free what stages other than the running one left in this Python worker, for stages that need the memory."""
+    kept, stages = _worker_store()
+    stage = _stage()
+    old = [key for key, last in stages.items() if last != stage]
+    if old:
+        for key in old:
+            del kept[key], stages[key]
+        gc.collect()  # encoders hold themselves through their tables
+        pa.default_memory_pool().release_unused()
+
+
+def worker_cache(key: tuple, make: Callable[[], object]) -> object:
+    """An object that lives in its Python worker, so that later tasks need not build it again.
+
+    Everything kept here has a bounded size. A stage that builds an object of its own first drops those that only
+    earlier stages asked for: a worker that outlives many stages holds the objects of one of them, not of all.
     """
-    store = sys.modules.setdefault("_millrace_llm_worker", types.ModuleType("_millrace_llm_worker")).__dict__
-    if key not in store:
-        store[key] = make()
-    return store[key]
+    kept, stages = _worker_store()
+    if key not in kept:
+        drop_other_stages()
+        kept[key] = make()
+    stages[key] = _stage()
+    return kept[key]
 
 
 class WordTable(dict):
