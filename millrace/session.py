@@ -79,7 +79,7 @@ _scopes: list[list[str]] = []
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
     """Remove what :func:`materialize` writes inside the block at its end, for jobs that run again and again.
 
-    Nothing made inside may be read afterwards.
+    Nothing made inside may be read afterwards, but for tables stored with ``outer``. Blocks may be nested.
     """
     _scopes.append([])
     try:
@@ -130,15 +130,16 @@ def _shuffle_files_removed(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(SHUFFLE_CLEANUP, before)
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, *, outer: bool = False) -> DataFrame:
     """Compute once into a table in the shared folder, so that the result outlives its executors.
 
     A written table is computed in one pass (an RDD checkpoint takes two) and is
-    read back with column pruning and pushed filters.
+    read back with column pruning and pushed filters. With ``outer`` it outlives the innermost
+    :func:`scratch_scope` and belongs to the one around it, if there is one.
     """
     path = scratch_path(df.sparkSession, "stage")
-    if _scopes:
-        _scopes[-1].append(path)
+    if len(_scopes) > outer:
+        _scopes[-1 - outer].append(path)
     with _shuffle_files_removed(df.sparkSession):
         df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,7 +9,8 @@ import pytest
 from llm.conftest import texts_of
 from pyspark.sql import functions as F
 
-from millrace.llm import near_copies
+from millrace import session
+from millrace.llm import near_copies, simhash
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -86,6 +87,46 @@ def test_shared_lines_make_few_pairs(spark):
     assert Counter(map(tuple, got)) == least_ids(rows)
 
 
+@pytest.mark.parametrize("few", [0, 1_000])
+def test_roots_are_those_of_the_stars(spark, few, monkeypatch):
+    monkeypatch.setattr(near_copies, "FEW_EDGES", few)
+    rng = random.Random(3)
+    edges = [(rng.randrange(-200, 200) << 40, rng.randrange(-200, 200) << 40) for _ in range(150)] + [(5, 5), (7, 6), (6, 7), (-(1 << 63), 8)]
+    edges += [(1000 + (i * 37) % 101, 1000 + (i * 37 + 37) % 101) for i in range(100)]
+    for rows in (edges, []):
+        stored = session.materialize(spark.createDataFrame(rows, "a long, b long").repartition(3))
+        want = Counter(map(tuple, simhash.components(stored).collect()))
+        assert Counter(map(tuple, near_copies._roots(stored).collect())) == want and bool(want) == bool(rows)
+
+
+def test_steps_leave_few_tasks_and_tables(spark, monkeypatch):
+    """What a step stores goes when it ends, and clusters of few pairs do not take a shuffle and a table per star."""
+    folder, most = session.shared_folder(spark), [0]
+    before = len(session.list_folders(spark, folder))
+    stored = session.materialize
+
+    def counted(df, **options):
+        out = stored(df, **options)
+        most[0] = max(most[0], len(session.list_folders(spark, folder)) - before)
+        return out
+
+    for module in (near_copies, simhash):
+        monkeypatch.setattr(module, "materialize", counted)
+    rows = list(enumerate(drifting_texts()))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    spark.sparkContext.setJobGroup("steps", "near copies")
+    try:
+        got = near_copies.near_copies(docs)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup("steps") for s in tracker.getJobInfo(j).stageIds}
+    tasks = sum(i.numCompletedTasks for s in stages if (i := tracker.getStageInfo(s)))
+    assert Counter(map(tuple, got.collect())) == least_ids(rows)
+    assert len(session.list_folders(spark, folder)) == before + 1
+    assert most[0] <= 25 and tasks <= 400
+
+
 def test_sketch_never_counts_more_than_differs():
     rng = np.random.default_rng(3)
     for _ in range(200):
